@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS, Options, ScaleLimits
 from ..functions.numbers import money, ratio
-from .skew import checkpointed, distinct_estimate, lookup, ranked_values, value_counts
+from .skew import checkpointed, distinct_estimate, lookup, ranked_values
 
 CONTEXT_COLUMNS = [
     "location_frequency", "location_rarity", "location_risk_score", "device_frequency", "device_rarity",
@@ -59,10 +59,9 @@ def context_tables(cube: DataFrame) -> dict[str, tuple[str, DataFrame]]:
 def percentile_table(df: DataFrame, limits: ScaleLimits = DEFAULTS.limits) -> tuple[DataFrame, int]:
     """Share of rows at or below each amount (ties get their average), and its size."""
     distinct = distinct_estimate(df, F.col("amount"))
-    rows = value_counts(df, "amount").agg(F.sum("n")).scalar()
     ranked = ranked_values(df, "amount", distinct, limits)
     return ranked.select(
-        "amount", ratio(F.col("below") + (F.col("n") + 1) / 2, rows).alias("amount_percentile")), distinct
+        "amount", ratio(F.col("below") + (F.col("n") + 1) / 2, F.col("size")).alias("amount_percentile")), distinct
 
 
 def amount_percentile(df: DataFrame, limits: ScaleLimits = DEFAULTS.limits) -> DataFrame:

@@ -90,7 +90,9 @@ def _unknown_user(df: DataFrame) -> DataFrame:
     })
 
 
-def _with_blocks(df: DataFrame, cuts: dict, fields: list[tuple[str, T.DataType]]) -> DataFrame:
+def _with_blocks(
+    df: DataFrame, cuts: dict, fields: list[tuple[str, T.DataType]], how: str = "inner"
+) -> DataFrame:
     """Number the block of each row by its user's sorted cut points (a bounded table)."""
     point = T.StructType([T.StructField(n, t) for n, t in fields])
     schema = T.StructType([
@@ -100,13 +102,13 @@ def _with_blocks(df: DataFrame, cuts: dict, fields: list[tuple[str, T.DataType]]
     table = df.sparkSession.createDataFrame([(k, v) for k, v in cuts.items()], schema)
     here = F.struct(*[F.col(n) for n, _ in fields])
     return (
-        df.join(F.broadcast(table), "user_id")
-        .withColumn("_block", F.size(F.filter("_cuts", lambda c: c <= here)))
+        df.join(F.broadcast(table), "user_id", how)
+        .withColumn("_block", F.when(F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda c: c <= here))))
         .drop("_cuts")
     )
 
 
-def _hot(df: DataFrame, hot: dict, share: int, hours: int) -> DataFrame:
+def _hot(df: DataFrame, hot: dict, share: int, hours: int, limits: ScaleLimits) -> DataFrame:
     """The same features for users that are too big for one task."""
     df = df.withColumn("_o", F.coalesce(F.col("_t"), F.lit(_LAST)))
     sample = cut_points(df, "user_id", ["_o", "tx_id"], hot, share)
@@ -131,7 +133,7 @@ def _hot(df: DataFrame, hot: dict, share: int, hours: int) -> DataFrame:
         rows.join(F.broadcast(edges), ["user_id", "_block"])
         .join(F.broadcast(spread), "user_id")
         .withColumn("_prev", prev).withColumn("_next", nxt)
-        .join(_hot_velocity(df, sample, pieces, hours), ["user_id", "_t"], "left")
+        .join(_hot_velocity(df, hours, limits), ["user_id", "_t"], "left")
         .withColumns({
             "time_since_last_tx": _hours(F.col("_t"), F.col("_prev._t")),
             "time_until_next_tx": _hours(F.col("_next._t"), F.col("_t")),
@@ -144,36 +146,44 @@ def _hot(df: DataFrame, hot: dict, share: int, hours: int) -> DataFrame:
     )
 
 
-def _hot_velocity(df: DataFrame, sample: dict, pieces: dict, hours: int) -> DataFrame:
-    """Trailing count per (user, time): steps are summed per distinct time before any block forms."""
-    width = hours * _HOUR
-    times = df.filter(F.col("_t").isNotNull())
-    steps = times.select(
-        "user_id",
-        F.inline(F.array(
-            F.struct(F.col("_t").alias("_t"), F.lit(1).alias("_step")),
-            F.struct((F.col("_t") + F.lit(width)).alias("_t"), F.lit(-1).alias("_step")))),
-    ).groupBy("user_id", "_t").agg(
-        F.sum("_step").alias("_step"), F.max("_step").alias("_kind"))
-    cuts = {
-        k: [(t,) for t in evenly(sorted(
-            x for o, _ in points if o != _LAST for x in (o, o + width)), 2 * pieces[k])]
-        for k, points in sample.items()
-    }
-    steps = _with_blocks(steps, cuts, [("_t", T.LongType())])
-    inside = Window.partitionBy("user_id", "_block").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
+def running_steps(steps: DataFrame, limits: ScaleLimits, inclusive: bool) -> DataFrame:
+    """Running sum of ``_step`` over the distinct times ``_t`` of each user.
+
+    Users with too many times are cut into blocks; the totals of the earlier
+    blocks (one row per block) are added to the sums inside each block.
+    """
+    end = Window.currentRow if inclusive else -1
+    hot, share = hot_keys(steps, "user_id", limits)
+    if not hot:
+        w = Window.partitionBy("user_id").orderBy("_t").rowsBetween(Window.unboundedPreceding, end)
+        return steps.withColumn("_sum", F.coalesce(F.sum("_step").over(w), F.lit(0)))
+    sample = cut_points(steps, "user_id", ["_t"], hot, share)
+    cuts = {k: evenly(v, math.ceil(2 * hot[k] / share)) for k, v in sample.items()}
+    rows = _with_blocks(steps, cuts, [("_t", T.LongType())], how="left")
+    inside = Window.partitionBy("user_id", "_block").orderBy("_t").rowsBetween(Window.unboundedPreceding, end)
     before = Window.partitionBy("user_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = steps.groupBy("user_id", "_block").agg(F.sum("_step").alias("_sum"))
-    totals = totals.select(
-        "user_id", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    totals = rows.filter(F.col("_block").isNotNull()).groupBy("user_id", "_block").agg(F.sum("_step").alias("_total"))
+    offsets = totals.select(
+        "user_id", "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
     return (
-        steps.withColumn("_run", F.coalesce(F.sum("_step").over(inside), F.lit(0)))
-        .filter(F.col("_kind") == 1)
-        .join(F.broadcast(totals), ["user_id", "_block"])
-        .select("user_id", "_t", (F.col("_run") + F.col("_offset")).alias("_velocity"))
+        rows.withColumn("_run", F.coalesce(F.sum("_step").over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), ["user_id", "_block"], "left")
+        .withColumn("_sum", F.col("_run") + F.coalesce(F.col("_offset"), F.lit(0)))
+        .drop("_block", "_run", "_offset")
     )
 
 
+def _hot_velocity(df: DataFrame, hours: int, limits: ScaleLimits) -> DataFrame:
+    """Trailing count per (user, time): steps are summed per distinct time before any block forms."""
+    t = F.col("_t")
+    steps = df.filter(t.isNotNull()).select("user_id", F.inline(F.array(
+        F.struct(t.alias("_t"), F.lit(1).alias("_step")),
+        F.struct((t + F.lit(hours * _HOUR)).alias("_t"), F.lit(-1).alias("_step")),
+    ))).groupBy("user_id", "_t").agg(F.sum("_step").alias("_step"), F.max("_step").alias("_kind"))
+    counted = running_steps(steps, limits, inclusive=False)
+    return counted.filter(F.col("_kind") == 1).select("user_id", "_t", F.col("_sum").alias("_velocity"))
+
+
 def sequence_features(
     df: DataFrame, hours: int = DEFAULTS.velocity_window_hours, limits: ScaleLimits = DEFAULTS.limits
 ) -> DataFrame:
@@ -195,7 +205,7 @@ def sequence_features(
         rest = base.filter(~is_big & user.isNotNull())
         out = _ordinary(rest, hours).unionByName(_unknown_user(base.filter(user.isNull())))
         if big:
-            out = out.unionByName(_hot(base.filter(is_big), big, share, hours))
+            out = out.unionByName(_hot(base.filter(is_big), big, share, hours, limits))
     out = out.drop("_t")
     hour = F.col("hour") if "hour" in given else F.hour(F.col("timestamp").cast("timestamp"))
     extra = [] if "hour" in given else ["hour"]
@@ -212,3 +222,28 @@ def trailing_count(df: DataFrame, hours: int, name: str, limits: ScaleLimits = D
     slim = df.select("tx_id", "user_id", "timestamp")
     return sequence_features(slim, hours, limits).select(
         "tx_id", "user_id", "timestamp", F.col("tx_velocity_24h").alias(name))
+
+
+def distinct_locations_within(
+    df: DataFrame, hours: int, name: str = "recent_locations", limits: ScaleLimits = DEFAULTS.limits
+) -> DataFrame:
+    """Distinct locations of the user in the trailing ``hours``, the transaction included.
+
+    Each visit keeps its location open until the next visit to it or until it leaves
+    the window, so a running sum of openings and closings counts the open locations.
+    """
+    width = hours * _HOUR
+    t = F.col("_t")
+    rows = df.withColumn("_t", micros(F.col("timestamp")))
+    timed = rows.filter(F.col("user_id").isNotNull() & t.isNotNull())
+    visits = timed.filter(F.col("location").isNotNull()).select("user_id", "location", "_t").distinct()
+    nxt = F.lead("_t").over(Window.partitionBy("user_id", "location").orderBy("_t"))
+    close = F.least(F.coalesce(nxt, t + width + 1), t + width + 1)
+    steps = visits.withColumn("_close", close).select("user_id", F.inline(F.array(
+        F.struct(t.alias("_t"), F.lit(1).alias("_step")),
+        F.struct(F.col("_close").alias("_t"), F.lit(-1).alias("_step")))))
+    points = timed.select("user_id", "_t", F.lit(0).alias("_step")).unionByName(steps).groupBy("user_id", "_t").agg(
+        F.sum("_step").alias("_step"))
+    counted = running_steps(points, limits, inclusive=True).select("user_id", "_t", "_sum")
+    return rows.join(counted, ["user_id", "_t"], "left").withColumn(
+        name, F.coalesce(F.col("_sum"), F.lit(0)).cast("long")).drop("_t", "_sum")

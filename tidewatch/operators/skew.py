@@ -50,59 +50,66 @@ def lookup(df: DataFrame, table: DataFrame, on: list[str], rows: int, limits: Sc
 
 # --- order statistics -------------------------------------------------------
 
-def value_counts(df: DataFrame, column: str) -> DataFrame:
+def value_counts(df: DataFrame, column: str, keys: tuple[str, ...] = ()) -> DataFrame:
     c = F.col(column)
-    return df.filter(c.isNotNull() & ~F.isnan(c)).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return df.filter(c.isNotNull() & ~F.isnan(c)).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n"))
 
 
 def ranked_values(
-    df: DataFrame, column: str, distinct: int, limits: ScaleLimits = DEFAULTS.limits
+    df: DataFrame, column: str, distinct: int, limits: ScaleLimits = DEFAULTS.limits, keys: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Distinct values with ``n`` copies and ``below``, the number of smaller rows.
+    """Distinct values (per key) with ``n`` copies, ``below`` smaller rows and ``size`` rows in all.
 
     Many values are cut into value ranges at approximate quantiles: counts run
     inside each range, and the totals of the ranges (one row each) give the rest.
     """
-    counts = value_counts(df, column)
+    counts = value_counts(df, column, keys)
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    everything = (Window.unboundedPreceding, Window.unboundedFollowing)
     if distinct <= limits.quantile_values:
-        w = Window.orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return counts.withColumn("below", F.sum("n").over(w) - F.col("n"))
+        w = Window.partitionBy(*keys).orderBy(column)
+        return counts.withColumns({
+            "below": F.sum("n").over(w.rowsBetween(*upto)) - F.col("n"),
+            "size": F.sum("n").over(w.rowsBetween(*everything)),
+        })
     pieces = max(2, math.ceil(2 * distinct / limits.quantile_values))
     cuts = sorted(set(counts.approxQuantile(column, [i / pieces for i in range(1, pieces)], 0.2 / pieces)))
     cut = Bucketizer(
         splits=[-math.inf, *cuts, math.inf], inputCol=column, outputCol="_block"
     ).transform(counts)
-    totals = cut.groupBy("_block").agg(F.sum("n").alias("_total"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_block").orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        cut.withColumn("below", F.sum("n").over(inside) - F.col("n"))
-        .join(F.broadcast(offsets), "_block")
-        .select(column, "n", (F.col("below") + F.col("_offset")).alias("below"))
-    )
+    totals = cut.groupBy(*keys, "_block").agg(F.sum("n").alias("_total"))
+    blocks = Window.partitionBy(*keys).orderBy("_block")
+    offsets = totals.select(
+        *keys, "_block",
+        F.coalesce(F.sum("_total").over(blocks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.sum("_total").over(blocks.rowsBetween(*everything)).alias("size"))
+    inside = Window.partitionBy(*keys, "_block").orderBy(column).rowsBetween(*upto)
+    same = [cut[k].eqNullSafe(offsets[k]) for k in keys] + [cut["_block"] == offsets["_block"]]
+    run = cut.withColumn("_run", F.sum("n").over(inside) - F.col("n"))
+    joined = run.join(offsets.hint("broadcast") if not keys else offsets, same)
+    return joined.select(
+        *[cut[k] for k in keys], cut[column], "n", (F.col("_run") + F.col("_offset")).alias("below"), "size")
 
 
 def quantiles(
     df: DataFrame, column: str, probs: list[float], limits: ScaleLimits = DEFAULTS.limits,
-    distinct: int | None = None,
+    distinct: int | None = None, keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation: one row, one array column ``q``."""
+    """Exact quantiles with linear interpolation, in one array column ``q`` (per key)."""
     if distinct is None:
         distinct = distinct_estimate(df, F.col(column))
     if distinct <= limits.quantile_values:
-        return value_counts(df, column).agg(
+        return value_counts(df, column, keys).groupBy(*keys).agg(
             F.percentile(column, F.array(*map(F.lit, probs)), F.col("n")).alias("q"))
-    ranked = ranked_values(df, column, distinct, limits)
-    last = value_counts(df, column).agg((F.sum("n") - 1).alias("last")).scalar()
+    ranked = ranked_values(df, column, distinct, limits, keys)
     v, lo, hi = F.col(column), F.col("below"), F.col("below") + F.col("n")
     at = lambda i: F.max(F.when((lo <= i) & (i < hi), v))
-    pos = [F.lit(p) * F.col("_last") for p in probs]
-    ends = ranked.withColumn("_last", last).agg(
+    pos = [F.lit(p) * (F.col("size") - 1) for p in probs]
+    ends = ranked.groupBy(*keys).agg(
         *[at(F.floor(x)).alias(f"a{i}") for i, x in enumerate(pos)],
         *[at(F.ceil(x)).alias(f"b{i}") for i, x in enumerate(pos)],
-        F.max("_last").alias("_last"))
-    return ends.select(F.array(*[
+        F.max("size").alias("size"))
+    return ends.select(*keys, F.array(*[
         F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * (x - F.floor(x)) for i, x in enumerate(pos)
     ]).alias("q"))
 

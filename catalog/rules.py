@@ -6,6 +6,7 @@ from tidewatch.functions import bands
 from tidewatch.functions.numbers import rounded
 from tidewatch.operators import ensemble, reports, scoring, sequence
 from tidewatch.operators.rules import DEFAULT_RULES, RuleSet
+from tidewatch.operators.skew import checkpointed
 from tidewatch.plans.features import extract_features
 
 from .data import TX, transactions
@@ -153,7 +154,8 @@ def scored(spark, sf):
     f = scoring.minmax(f, {
         "k": "isolation_forest_score", "tx_velocity_24h": "dbscan_score",
         "amount_percentile": "lof_score", "_z": "hdbscan_score"}, source=f)
-    return ensemble.combine_scores(f)
+    # The reports below read the scores several times: write them once.
+    return checkpointed(ensemble.combine_scores(f))
 
 
 _MM = lambda c: f"coalesce(({c} - min({c}) OVER ()) / nullif(max({c}) OVER () - min({c}) OVER (), 0), 0)"
@@ -235,7 +237,7 @@ def _(spark, sf):
 
 
 @query("method_user_summary", f"""WITH {_BY_METHOD} SELECT method, count(*) AS users, count(*) FILTER (mean_score > 0.6) AS high_risk_users,
-  count(*) FILTER (mean_score > 0.8) AS critical_users, round_even(avg(mean_score), 6) AS avg_score, max(max_score) AS highest_score FROM um GROUP BY 1""")
+  count(*) FILTER (mean_score > 0.8) AS critical_users, round_even(CAST(sum(CAST(mean_score AS DECIMAL(18, 4))) AS DOUBLE) / count(*), 6) AS avg_score, max(max_score) AS highest_score FROM um GROUP BY 1""")
 def _(spark, sf):
     return scoring.method_user_summary(scored(spark, sf)).withColumns(r(6, "avg_score"))
 

@@ -5,19 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS, DEVICE_BRANDS, TRANSACTION_GROUPS, ScaleLimits
-from ..functions.numbers import mean, rounded
-from .skew import quantiles
+from ..functions.numbers import money, ratio, rounded
+from .skew import distinct_estimate, quantiles, value_counts
 
 AMOUNT_PROBS = [0.25, 0.5, 0.75, 0.8, 0.95]
 
 
 def amount_statistics(df: DataFrame, limits: ScaleLimits = DEFAULTS.limits, probs=None) -> DataFrame:
-    """One row: quantiles ``q``, ``mean`` and ``std`` (n - 1) of the amounts."""
+    """One row: quantiles ``q``, ``mean`` and ``std`` (n - 1) of the amounts.
+
+    Everything comes from the counts per distinct amount, so the table is
+    aggregated once and only distinct amounts are moved.
+    """
     probs = AMOUNT_PROBS if probs is None else probs
-    spread = df.agg(mean(F.col("amount")).alias("mean"), F.stddev_samp("amount").alias("std"))
-    return quantiles(df, "amount", probs, limits).select("q").withColumns({
-        "mean": spread.select("mean").scalar(), "std": spread.select("std").scalar(),
-    })
+    v, n = F.col("amount"), F.col("n")
+    counts = value_counts(df, "amount")
+    rows, weighted = F.sum("n"), F.sum(money(v) * n).cast("double")
+    variance = ratio(F.sum(v * v * n) - ratio(weighted * weighted, rows), rows - 1)
+    spread = [ratio(weighted, rows).alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std")]
+    distinct = distinct_estimate(df, v)
+    if distinct <= limits.quantile_values:
+        return counts.agg(F.percentile("amount", F.array(*map(F.lit, probs)), n).alias("q"), *spread)
+    one = F.lit(1).alias("one")
+    q = quantiles(df, "amount", probs, limits, distinct).select(one, "q")
+    return q.join(counts.agg(*spread).select(one, "mean", "std"), "one").drop("one")
 
 
 def statistics_column(stats: DataFrame) -> Column:

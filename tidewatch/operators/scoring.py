@@ -142,7 +142,7 @@ def method_user_summary(df: DataFrame, methods: list[str] | None = None) -> Data
         F.count(F.lit(1)).alias("users"),
         F.count_if(s > 0.6).alias("high_risk_users"),
         F.count_if(s > 0.8).alias("critical_users"),
-        F.avg(s).alias("avg_score"),
+        mean(s).alias("avg_score"),
         F.max("max_score").alias("highest_score"),
     )
 

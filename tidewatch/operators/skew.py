@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -18,21 +19,24 @@ from ..config import DEFAULTS, ScaleLimits
 SAMPLES_PER_BLOCK = 64
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder in ``spark.checkpoint.dir``."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="tidewatch-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder set for the session; a local one only where none is set, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidewatch-"))
-    return folder or sc.getCheckpointDir()
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write the table to the shared folder once and go on from there.
+
+    Written as parquet, so later readers still read only the columns they need,
+    and a lost executor costs a re-read instead of a recomputation.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def distinct_estimate(df: DataFrame, col: Column) -> int:

@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import DEFAULTS, ScaleLimits
 from ..functions.numbers import flag_int, micros, rounded
-from .skew import cut_points, evenly, hot_keys
+from .skew import cut_points, evenly, hot_keys, running_total, with_blocks
 
 _HOUR = 3600 * 1_000_000
 _LAST = 2**63 - 1
@@ -90,33 +90,13 @@ def _unknown_user(df: DataFrame) -> DataFrame:
     })
 
 
-def _with_blocks(
-    df: DataFrame, cuts: dict, fields: list[tuple[str, T.DataType]], how: str = "inner"
-) -> DataFrame:
-    """Number the block of each row by its user's sorted cut points (a bounded table)."""
-    point = T.StructType([T.StructField(n, t) for n, t in fields])
-    schema = T.StructType([
-        T.StructField("user_id", df.schema["user_id"].dataType),
-        T.StructField("_cuts", T.ArrayType(point)),
-    ])
-    table = df.sparkSession.createDataFrame([(k, v) for k, v in cuts.items()], schema)
-    here = F.struct(*[F.col(n) for n, _ in fields])
-    return (
-        df.join(F.broadcast(table), "user_id", how)
-        .withColumn("_block", F.when(F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda c: c <= here))))
-        .drop("_cuts")
-    )
-
-
 def _hot(df: DataFrame, hot: dict, share: int, hours: int, limits: ScaleLimits) -> DataFrame:
     """The same features for users that are too big for one task."""
     df = df.withColumn("_o", F.coalesce(F.col("_t"), F.lit(_LAST)))
     sample = cut_points(df, "user_id", ["_o", "tx_id"], hot, share)
     pieces = {k: math.ceil(2 * n / share) for k, n in hot.items()}
-    id_type = df.schema["tx_id"].dataType
-    rows = _with_blocks(
-        df, {k: evenly(v, pieces[k]) for k, v in sample.items()},
-        [("_o", T.LongType()), ("tx_id", id_type)])
+    rows = with_blocks(
+        df, {k: evenly(v, pieces[k]) for k, v in sample.items()}, "user_id", ["_o", "tx_id"])
     block = Window.partitionBy("user_id", "_block").orderBy("_o", "tx_id")
     order = F.struct("_o", "tx_id")
     state = F.struct("_t", "location", "device")
@@ -146,33 +126,6 @@ def _hot(df: DataFrame, hot: dict, share: int, hours: int, limits: ScaleLimits)
     )
 
 
-def running_steps(steps: DataFrame, limits: ScaleLimits, inclusive: bool) -> DataFrame:
-    """Running sum of ``_step`` over the distinct times ``_t`` of each user.
-
-    Users with too many times are cut into blocks; the totals of the earlier
-    blocks (one row per block) are added to the sums inside each block.
-    """
-    end = Window.currentRow if inclusive else -1
-    hot, share = hot_keys(steps, "user_id", limits)
-    if not hot:
-        w = Window.partitionBy("user_id").orderBy("_t").rowsBetween(Window.unboundedPreceding, end)
-        return steps.withColumn("_sum", F.coalesce(F.sum("_step").over(w), F.lit(0)))
-    sample = cut_points(steps, "user_id", ["_t"], hot, share)
-    cuts = {k: evenly(v, math.ceil(2 * hot[k] / share)) for k, v in sample.items()}
-    rows = _with_blocks(steps, cuts, [("_t", T.LongType())], how="left")
-    inside = Window.partitionBy("user_id", "_block").orderBy("_t").rowsBetween(Window.unboundedPreceding, end)
-    before = Window.partitionBy("user_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.filter(F.col("_block").isNotNull()).groupBy("user_id", "_block").agg(F.sum("_step").alias("_total"))
-    offsets = totals.select(
-        "user_id", "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
-    return (
-        rows.withColumn("_run", F.coalesce(F.sum("_step").over(inside), F.lit(0)))
-        .join(F.broadcast(offsets), ["user_id", "_block"], "left")
-        .withColumn("_sum", F.col("_run") + F.coalesce(F.col("_offset"), F.lit(0)))
-        .drop("_block", "_run", "_offset")
-    )
-
-
 def _hot_velocity(df: DataFrame, hours: int, limits: ScaleLimits) -> DataFrame:
     """Trailing count per (user, time): steps are summed per distinct time before any block forms."""
     t = F.col("_t")
@@ -180,7 +133,7 @@ def _hot_velocity(df: DataFrame, hours: int, limits: ScaleLimits) -> DataFrame:
         F.struct(t.alias("_t"), F.lit(1).alias("_step")),
         F.struct((t + F.lit(hours * _HOUR)).alias("_t"), F.lit(-1).alias("_step")),
     ))).groupBy("user_id", "_t").agg(F.sum("_step").alias("_step"), F.max("_step").alias("_kind"))
-    counted = running_steps(steps, limits, inclusive=False)
+    counted = running_total(steps, "user_id", "_t", "_step", limits, inclusive=False)
     return counted.filter(F.col("_kind") == 1).select("user_id", "_t", F.col("_sum").alias("_velocity"))
 
 
@@ -244,6 +197,6 @@ def distinct_locations_within(
         F.struct(F.col("_close").alias("_t"), F.lit(-1).alias("_step")))))
     points = timed.select("user_id", "_t", F.lit(0).alias("_step")).unionByName(steps).groupBy("user_id", "_t").agg(
         F.sum("_step").alias("_step"))
-    counted = running_steps(points, limits, inclusive=True).select("user_id", "_t", "_sum")
+    counted = running_total(points, "user_id", "_t", "_step", limits, inclusive=True).select("user_id", "_t", "_sum")
     return rows.join(counted, ["user_id", "_t"], "left").withColumn(
         name, F.coalesce(F.col("_sum"), F.lit(0)).cast("long")).drop("_t", "_sum")

@@ -12,7 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..config import DEFAULTS, ScaleLimits
 
@@ -164,3 +164,48 @@ def evenly(points: list, pieces: int) -> list:
         return []
     step = len(points) / pieces
     return sorted({points[int(i * step)] for i in range(1, pieces)})
+
+
+def with_blocks(df: DataFrame, cuts: dict, key: str, order: list[str], how: str = "inner") -> DataFrame:
+    """Add ``_block``: how many of its key's sorted cut points a row reaches.
+
+    ``cuts`` covers the hot keys only, so the table that is broadcast is bounded.
+    """
+    point = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
+    schema = T.StructType([
+        T.StructField(key, df.schema[key].dataType), T.StructField("_cuts", T.ArrayType(point))])
+    table = df.sparkSession.createDataFrame(list(cuts.items()), schema)
+    here = F.struct(*order)
+    return (
+        df.join(F.broadcast(table), key, how)
+        .withColumn("_block", F.when(F.col("_cuts").isNotNull(), F.size(F.filter("_cuts", lambda c: c <= here))))
+        .drop("_cuts")
+    )
+
+
+def running_total(
+    df: DataFrame, key: str, order: str, value: str, limits: ScaleLimits, inclusive: bool = True
+) -> DataFrame:
+    """Add ``_sum``, the running sum of ``value`` per key over distinct ``order`` values.
+
+    Keys with too many rows are cut into blocks; the totals of the earlier blocks
+    (one row per block) are added to the sums inside each block.
+    """
+    end = Window.currentRow if inclusive else -1
+    hot, share = hot_keys(df, key, limits)
+    if not hot:
+        w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+        return df.withColumn("_sum", F.coalesce(F.sum(value).over(w), F.lit(0)))
+    sample = cut_points(df, key, [order], hot, share)
+    rows = with_blocks(
+        df, {k: evenly(v, math.ceil(2 * hot[k] / share)) for k, v in sample.items()}, key, [order], how="left")
+    inside = Window.partitionBy(key, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+    before = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.filter(F.col("_block").isNotNull()).groupBy(key, "_block").agg(F.sum(value).alias("_total"))
+    offsets = totals.select(key, "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    return (
+        rows.withColumn("_run", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), [key, "_block"], "left")
+        .withColumn("_sum", F.col("_run") + F.coalesce(F.col("_offset"), F.lit(0)))
+        .drop("_block", "_run", "_offset")
+    )

@@ -15,9 +15,22 @@ def _pick(index, values):
     return F.try_element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table, read as a stream of files."""
+    schema = events(spark, sf_dir).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per event; some users, times and amounts are missing."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return to_transactions(events(spark, sf_dir))
+
+
+def to_transactions(e: DataFrame, *keep) -> DataFrame:
     k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
     kinds = F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
     return e.select(
@@ -29,6 +42,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(k % 8, PLACES).alias("location"),
         _pick(F.col("event_id") % 7, DEVICES).alias("device"),
         _pick(F.col("event_id") % 4, SYMBOLS).alias("currency"),
+        *keep,
     )
 
 
@@ -73,10 +87,11 @@ ORDER_TX = """tx AS (SELECT o_orderkey AS tx_id, CAST(o_orderdate AS TIMESTAMP)
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a log line in one of ten shapes (seven layouts, empty, malformed, free text)."""
-    t = transactions(spark, sf_dir).join(
-        spark.read.parquet(f"{sf_dir}/events.parquet").select(
-            F.col("event_id").alias("tx_id"), F.col("ts"), F.col("value"), F.col("user_id").alias("uid"), "props"),
-        "tx_id")
+    return to_raw_logs(events(spark, sf_dir))
+
+
+def to_raw_logs(e: DataFrame) -> DataFrame:
+    t = to_transactions(e, "ts", "value", F.col("user_id").alias("uid"), "props")
     iso = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
     slash = F.date_format(F.col("ts").cast("timestamp"), "dd/MM/yyyy HH:mm:ss")
     user = F.concat(F.lit("user"), F.col("uid"))

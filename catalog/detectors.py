@@ -129,7 +129,7 @@ def _(spark, sf):
     return lof_scores(vectors(spark, sf), _K, "lof", chunk_rows=200).select("tx_id", rounded(F.col("lof"), 6).alias("lof"))
 
 
-_EPS = 0.9
+_EPS = 1.165
 _DBSCAN = f"""{_PAIRS}, near AS (SELECT g, o FROM pairs WHERE d <= {_EPS}), core AS (SELECT g FROM near GROUP BY 1 HAVING count(*) >= 5),
   ce AS (SELECT near.g, near.o FROM near JOIN core a ON near.g = a.g JOIN core b ON near.o = b.g),
   reach(g, o) AS (SELECT g, o FROM ce UNION SELECT reach.g, ce.o FROM reach JOIN ce ON reach.o = ce.g),

@@ -9,19 +9,21 @@ YEAR_FIRST_SLASH = "yyyy/M/d H:m:s"
 MONTH_FIRST_SLASH = "M/d/yyyy H:m:s"
 
 
+def single_spaced(text: Column) -> Column:
+    return F.when(text.rlike(r"\s\s|[\t\n]"), F.regexp_replace(text, r"\s+", " ")).otherwise(text)
+
+
 def parse_timestamp(text: Column) -> Column:
-    """The time in a trimmed text; null when no layout fits.
+    """The time in a trimmed, single-spaced text; null when no layout fits.
 
     A failed attempt costs an exception per row, so the layout is picked by the
     shape of the text: day-first and month-first dates can only both fit when
     the second number is a month, and then day-first has priority.
     """
-    s = F.when(text.rlike(r"\s\s|[\t\n]"), F.regexp_replace(text, r"\s+", " ")).otherwise(text)
-    second = F.regexp_extract(s, r"^\d{1,2}/(\d{1,2})/", 1)
+    by = lambda layout: F.try_to_timestamp(text, F.lit(layout))
     return (
-        F.when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2} "), F.try_to_timestamp(s, F.lit(YEAR_FIRST_DASH)))
-        .when(s.rlike(r"^\d{4}/\d{1,2}/\d{1,2} "), F.try_to_timestamp(s, F.lit(YEAR_FIRST_SLASH)))
-        .when(second == "", F.lit(None).cast("timestamp"))
-        .when(second.try_cast("int") > 12, F.try_to_timestamp(s, F.lit(MONTH_FIRST_SLASH)))
-        .otherwise(F.try_to_timestamp(s, F.lit(DAY_FIRST_SLASH)))
+        F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2} "), by(YEAR_FIRST_DASH))
+        .when(text.rlike(r"^\d{1,2}/(1[3-9]|[2-9]\d)/"), by(MONTH_FIRST_SLASH))
+        .when(text.rlike(r"^\d{1,2}/\d{1,2}/"), by(DAY_FIRST_SLASH))
+        .when(text.rlike(r"^\d{4}/\d{1,2}/\d{1,2} "), by(YEAR_FIRST_SLASH))
     )

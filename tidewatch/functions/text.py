@@ -8,25 +8,24 @@ WHITESPACE = (
     + "".join(chr(c) for c in range(0x2000, 0x200B))
     + "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_RUN = f"[{WHITESPACE}]+"
 WORD = r"[\p{L}\p{N}_]+"
 
 
 def strip(col: Column) -> Column:
-    return F.btrim(col, F.lit(WHITESPACE))
+    """Trim white space of every kind. Most texts have none at their ends, and that test is cheap."""
+    blanks = F.lit(WHITESPACE)
+    at_an_end = F.contains(blanks, F.left(col, F.lit(1))) | F.contains(blanks, F.right(col, F.lit(1)))
+    return F.when(at_an_end, F.btrim(col, blanks)).otherwise(col)
 
 
-def extract(col: Column, pattern: str, group: int = 1) -> Column:
-    """The group of the first match, or null when there is none (or it is empty)."""
-    return F.nullif(F.regexp_extract(col, pattern, group), F.lit(""))
+def has_pieces(col: Column, separator: str, n: int) -> Column:
+    """Whether the separator (a pattern) cuts the text into at least ``n`` pieces."""
+    return F.size(F.split(col, separator)) >= n
 
 
 def after(col: Column, marker: str) -> Column:
     """The text between the first and the second ``marker``; null without one."""
-    return F.when(
-        col.contains(marker),
-        F.substring_index(F.substring(col, F.instr(col, marker) + len(marker), F.length(col)), marker, 1),
-    )
+    return F.get(F.split(col, marker), F.lit(1))
 
 
 def none_to_null(col: Column) -> Column:
@@ -34,7 +33,8 @@ def none_to_null(col: Column) -> Column:
 
 
 def tokens(col: Column) -> Column:
-    return F.split(strip(col), WHITESPACE_RUN)
+    """Words of a trimmed text."""
+    return F.split(F.translate(col, WHITESPACE, " " * len(WHITESPACE)), " +")
 
 
 def first_containing(parts: Column, marker: str) -> Column:

@@ -14,10 +14,10 @@ from ..config import (
     AMOUNT_PATTERN, CURRENCY_RATES_TO_GBP, DEVICES, LOCATIONS, MALFORMED_MARKER,
     REGION_CURRENCIES, TRANSACTION_TYPES, UNUSUAL_AMOUNT,
 )
-from ..functions.dates import parse_timestamp
+from ..functions.dates import parse_timestamp, single_spaced
 from ..functions.numbers import rounded, total
 from ..functions.text import (
-    WORD, after, extract, first_containing, none_to_null, strip, tokens,
+    WORD, after, first_containing, has_pieces, none_to_null, strip, tokens,
 )
 
 # Names of the layouts, by format_id.
@@ -52,16 +52,14 @@ def log_class(raw: Column) -> Column:
 
 def format_id(line: Column) -> Column:
     """The first layout whose tests the (trimmed) line passes; 8 is free text."""
-    pieces = lambda sep: F.size(F.split(line, sep))
-    words = tokens(line)
     return (
-        F.when(line.contains("|") & line.contains("user:") & (pieces(r"\|") >= 3), 1)
-        .when(line.contains("::") & (pieces("::") >= 4), 2)
-        .when(line.startswith("usr:") & (pieces(r"\|") >= 4), 3)
+        F.when(line.contains("|") & line.contains("user:") & has_pieces(line, r"\|", 3), 1)
+        .when(line.contains("::") & has_pieces(line, "::", 4), 2)
+        .when(line.startswith("usr:") & has_pieces(line, r"\|", 4), 3)
         .when(line.contains(">>") & line.contains("["), 4)
-        .when(line.contains(":::") & line.contains("***") & (pieces(":::") >= 3), 5)
-        .when(line.contains("user=") & line.contains("action=") & (pieces(" - ") >= 3), 6)
-        .when(line.startswith("user") & (F.size(words) >= 4), 7)
+        .when(line.contains("***") & has_pieces(line, ":::", 3), 5)
+        .when(line.contains("user=") & line.contains("action=") & has_pieces(line, " - ", 3), 6)
+        .when(line.startswith("user") & (F.size(tokens(line)) >= 4), 7)
         .otherwise(8)
     )
 
@@ -91,54 +89,69 @@ def _pick(fmt: Column, **by_format: Column) -> Column:
 def _shared_texts(fmt: Column, p: Column) -> dict[str, Column]:
     """Pieces that several fields of one format read: written once, evaluated once."""
     at = lambda i: F.get(p, F.lit(i))
-    action = after(first_containing(p, "action="), "action=")
     return {
-        "_body": _pick(fmt, f1=strip(after(strip(at(2)), "txn:")), f4=at(1), f5=strip(at(2))),
-        "_actor": _pick(fmt, f1=strip(at(1)), f5=strip(at(1))),
-        "_words": F.when(fmt == 6, tokens(action)),
+        "_body": _pick(fmt, f1=after(at(2), "txn:"), f4=at(1), f5=at(2)),
+        "_actor": _pick(fmt, f1=after(at(1), "user:"), f5=at(1)),
+        "_words": F.when(fmt == 6, tokens(F.ltrim(after(first_containing(p, "action="), "action=")))),
     }
 
 
+# Formats whose field is searched by a pattern: there, an empty text means "not found".
+_SEARCHED = {"user_id": (4, 5, 8), "transaction_type": (1, 4, 5, 6, 8), "location": (1, 4, 5, 8), "device": (4, 5, 8)}
+# Formats whose field is trimmed and lower-cased.
+_TRIMMED = {"user_id": (1,), "location": (4, 5, 6), "device": (1, 4, 5)}
+_LOWERED = {"transaction_type": (1, 5, 8)}
+
+
 def _field_texts(fmt: Column, line: Column, p: Column, compat: bool) -> dict[str, Column]:
+    """The text of each field, picked by format; every pattern is applied once."""
     at = lambda i: F.get(p, F.lit(i))
+    find = lambda text, pattern, group=1: F.regexp_extract(text, pattern, group)
     body, actor, words = F.col("_body"), F.col("_actor"), F.col("_words")
     kind = WORD if compat else r"[\p{L}\p{N}_-]+"
     place4 = r"- ([^/]+?)( //| dev:)" if compat else r"amt=\S+ - ([^/]+?)( //| dev:)"
     amount5 = r"amt:([£$€]?\d+\.?\d*)" if compat else r"amt:([£$€]?\d+\.?\d*[£$€]?)"
-    device1 = strip(after(at(3), "device:"))
-    device7 = at(6) if compat else F.array_join(F.slice(p, 7, F.greatest(F.size(p) - 6, F.lit(0))), " ")
+    rest = lambda a, start: F.array_join(F.slice(a, start, F.greatest(F.size(a) - (start - 1), F.lit(0))), " ")
     # Digits of dates, users and devices are no amounts; only the corrected mode removes them.
     free_amount = line if compat else F.regexp_replace(
         line, rf"{_ISO_TIME}|{_SLASH_TIME}|(?i:user\d+)|(?i:{'|'.join(DEVICES)})", " ")
+    free_time = find(line, rf"{_ISO_TIME}", 1)
     return {
-        "time_text": strip(_pick(
+        "time_text": _pick(
             fmt, f1=at(0), f2=at(0), f3=at(4), f4=at(0), f5=at(0), f6=at(0),
             f7=F.concat_ws(" ", at(1), at(2)),
-            f8=F.coalesce(extract(line, _ISO_TIME), extract(line, _SLASH_TIME)))),
+            f8=F.when(line.rlike(_ISO_TIME), free_time).otherwise(find(line, _SLASH_TIME))),
         "user_id": _pick(
-            fmt, f1=strip(after(actor, "user:")), f2=at(1), f3=after(at(0), "usr:"),
-            f4=extract(body, r"\[([^\]]+)\]"), f5=extract(actor, rf"({WORD}) \*\*\* {kind}"),
-            f6=after(first_containing(p, "user="), "user="), f7=at(0), f8=extract(line, _USER)),
+            fmt, f1=actor, f2=at(1), f3=after(at(0), "usr:"), f4=find(body, r"\[([^\]]+)\]"),
+            f5=find(actor, rf"({WORD}) \*\*\* {kind}"), f6=after(first_containing(p, "user="), "user="),
+            f7=at(0), f8=find(line, _USER)),
         "transaction_type": _pick(
-            fmt, f1=F.lower(extract(body, _TYPE)), f2=at(2), f3=at(1), f4=extract(body, f"did ({kind})"),
-            f5=F.lower(extract(actor, rf"{WORD} \*\*\* ({kind})")),
-            f6=F.nullif(F.get(words, F.lit(0)), F.lit("")), f7=at(3), f8=F.lower(extract(line, _TYPE))),
+            fmt, f1=find(body, _TYPE), f2=at(2), f3=at(1), f4=find(body, f"did ({kind})"),
+            f5=find(actor, rf"{WORD} \*\*\* ({kind})"), f6=F.get(words, F.lit(0)), f7=at(3), f8=find(line, _TYPE)),
         "amount_text": _pick(
-            fmt, f1=body, f2=at(3), f3=at(2), f4=extract(body, r"amt=([£$€]?\d+\.?\d*)"),
-            f5=extract(body, amount5),
-            f6=F.array_join(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), " "),
-            f7=at(4), f8=free_amount),
+            fmt, f1=body, f2=at(3), f3=at(2), f4=find(body, r"amt=([£$€]?\d+\.?\d*)"), f5=find(body, amount5),
+            f6=rest(words, 2), f7=at(4), f8=free_amount),
         "location": _pick(
-            fmt, f1=extract(body, _LOCATION), f2=at(4), f3=at(3), f4=strip(extract(body, place4)),
-            f5=strip(extract(body, r"@ ([^<]+)")), f6=strip(after(first_containing(p, "ATM:"), "ATM:")),
-            f7=at(5), f8=extract(line, _LOCATION)),
+            fmt, f1=find(body, _LOCATION), f2=at(4), f3=at(3), f4=find(body, place4), f5=find(body, r"@ ([^<]+)"),
+            f6=after(first_containing(p, "ATM:"), "ATM:"), f7=at(5), f8=find(line, _LOCATION)),
         "device": _pick(
-            fmt, f1=device1, f2=at(5), f3=at(5), f4=strip(extract(body, r"dev:([^$]+)$")),
-            f5=strip(extract(body, r"<([^>]+)>")), f6=after(first_containing(p, "device="), "device="),
-            f7=device7, f8=extract(line, _DEVICE)),
+            fmt, f1=after(at(3), "device:"), f2=at(5), f3=at(5), f4=find(body, r"dev:([^$]+)$"),
+            f5=find(body, r"<([^>]+)>"), f6=after(first_containing(p, "device="), "device="),
+            f7=at(6) if compat else rest(p, 7), f8=find(line, _DEVICE)),
     }
 
 
+def _clean_field(name: str, fmt: Column) -> Column:
+    """Not-found texts become null; then the format's own trimming and lower-casing."""
+    c = F.col(f"_{name}")
+    out = F.when(fmt.isin(*_SEARCHED[name]) & (c == ""), F.lit(None).cast("string"))
+    if name in _TRIMMED:
+        out = out.when(fmt.isin(*_TRIMMED[name]), strip(c))
+    if name in _LOWERED:
+        out = out.when(fmt.isin(*_LOWERED[name]), F.lower(c))
+    return out.otherwise(c)
+
+
 def gbp_amount(amount: Column, currency: Column) -> Column:
     """Amount in GBP at the fixed rates, to the penny; unknown currencies count as GBP."""
     rates = F.create_map(*[F.lit(x) for kv in CURRENCY_RATES_TO_GBP.items() for x in kv])
@@ -184,16 +197,17 @@ def parse_lines(df: DataFrame, column: str = "raw_log", compat: bool = True) ->
     staged = staged.withColumns({f"_{k}": v for k, v in fields.items()})
     number = (
         F.when(fmt == 7, F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double")))
-        .otherwise(extract(text, AMOUNT_PATTERN, 2).try_cast("double"))
+        .otherwise(F.regexp_extract(text, AMOUNT_PATTERN, 2).try_cast("double"))
     )
-    symbol = F.when(fmt != 7, extract(text, AMOUNT_PATTERN, 1))
+    symbol = F.when(fmt != 7, F.regexp_extract(text, AMOUNT_PATTERN, 1))
     if not compat:
-        symbol = F.coalesce(symbol, F.when(fmt == 5, extract(text, r"\d([£$€])$", 1)))
+        symbol = F.when(fmt == 5, F.regexp_extract(text, r"([£$€])", 1)).otherwise(symbol)
     staged = staged.withColumns({
-        "_timestamp": parse_timestamp(F.col("_time_text")), "_number": number, "_symbol": symbol,
-    })
+        "_time_text": single_spaced(strip(F.col("_time_text"))), "_number": number, "_symbol": symbol,
+        **{f"_{k}": _clean_field(k, fmt) for k in _SEARCHED},
+    }).withColumn("_timestamp", parse_timestamp(F.col("_time_text")))
     free = fmt == 8
-    ts, num, sym = F.col("_timestamp"), F.col("_number"), F.col("_symbol")
+    ts, num, sym = F.col("_timestamp"), F.col("_number"), F.nullif(F.col("_symbol"), F.lit(""))
     user, kind = F.col("_user_id"), F.col("_transaction_type")
     loc = none_to_null(F.col("_location"))
     # The pipe layout keeps the device text "None" as it is.

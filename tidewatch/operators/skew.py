@@ -88,11 +88,12 @@ def ranked_values(
         F.coalesce(F.sum("_total").over(blocks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
         F.sum("_total").over(blocks.rowsBetween(*everything)).alias("size"))
     inside = Window.partitionBy(*keys, "_block").orderBy(column).rowsBetween(*upto)
-    same = [cut[k].eqNullSafe(offsets[k]) for k in keys] + [cut["_block"] == offsets["_block"]]
     run = cut.withColumn("_run", F.sum("n").over(inside) - F.col("n"))
-    joined = run.join(offsets.hint("broadcast") if not keys else offsets, same)
-    return joined.select(
-        *[cut[k] for k in keys], cut[column], "n", (F.col("_run") + F.col("_offset")).alias("below"), "size")
+    # A missing key is a key like any other, so the join compares null-safe.
+    renamed = offsets.withColumnsRenamed({"_block": "_at", **{k: f"_{k}" for k in keys}})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_block") == F.col("_at")]
+    joined = run.join(renamed if keys else F.broadcast(renamed), same)
+    return joined.select(*keys, column, "n", (F.col("_run") + F.col("_offset")).alias("below"), "size")
 
 
 def quantiles(

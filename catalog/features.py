@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.numbers import rounded
 from tidewatch.operators import basic, context, sequence, users
+from tidewatch.operators.profiling import feature_profile
 from tidewatch.plans.features import extract_features, feature_catalogue
 
 from .data import ORDER_TX, TX, order_transactions, transactions
@@ -206,4 +207,6 @@ def _(spark, sf):
 
 @query("feature_catalogue", None)
 def _(spark, sf):
-    return feature_catalogue(extract_features(transactions(spark, sf)))
+    """Categories of the features, with the completeness of each over the whole table."""
+    f = extract_features(transactions(spark, sf))
+    return feature_catalogue(f).join(feature_profile(f), "feature")

@@ -190,21 +190,21 @@ def _(spark, sf):
     return parse.currency_conversion_stats(transactions(spark, sf))
 
 
-def _texts(spark, sf):
-    d = spark.read.parquet(f"{sf}/documents.parquet")
-    return d.select(F.col("doc_id").alias("tx_id"), F.col("text").alias("raw_log"))
-
-
-@query("documents_as_logs", r"""WITH t AS (SELECT doc_id, text FROM documents)
-  SELECT doc_id AS tx_id, lower(nullif(regexp_extract(text, '(?i)(withdrawal|deposit|cashout|purchase|transfer|top-up|debit|refund)', 1), '')) AS transaction_type,
+# Whole texts of other tables, read as if they were log lines: nearly all of it is free text.
+_FREE = r"""SELECT id AS tx_id, lower(nullif(regexp_extract(text, '(?i)(withdrawal|deposit|cashout|purchase|transfer|top-up|debit|refund)', 1), '')) AS transaction_type,
   CASE WHEN regexp_extract(text, '(?i)(user[0-9]+)', 1) = '' THEN NULL
     WHEN starts_with(regexp_extract(text, '(?i)(user[0-9]+)', 1), 'user') THEN regexp_extract(text, '(?i)(user[0-9]+)', 1)
     ELSE 'user' || regexp_extract(text, '(?i)(user[0-9]+)', 1) END AS user_id,
-  TRY_CAST(nullif(regexp_extract(text, '([£$€]?)([0-9]+\.?[0-9]*)', 2), '') AS DOUBLE) AS amount
+  TRY_CAST(nullif(regexp_extract(text, '([£$€]?)([0-9]+\.?[0-9]*)', 2), '') AS DOUBLE) AS amount,
+  nullif(nullif(regexp_extract(text, '(?i)(London|Glasgow|Birmingham|Liverpool|Cardiff|Leeds|Manchester|None)', 1), ''), 'None') AS location
   FROM t WHERE NOT (contains(text, '|') AND contains(text, 'user:') AND len(string_split(text, '|')) >= 3)
     AND NOT (contains(text, '::') AND len(string_split(text, '::')) >= 4) AND NOT starts_with(text, 'usr:')
     AND NOT (contains(text, '>>') AND contains(text, '[')) AND NOT (contains(text, ':::') AND contains(text, '***'))
-    AND NOT (contains(text, 'user=') AND contains(text, 'action=')) AND NOT starts_with(text, 'user')""")
-def _(spark, sf):
-    lines = parse.parse_lines(_texts(spark, sf))
-    return lines.filter(F.col("format_id") == 8).select("tx_id", "transaction_type", "user_id", "amount")
+    AND NOT (contains(text, 'user=') AND contains(text, 'action=')) AND NOT starts_with(text, 'user')"""
+
+for _table, _key, _text in (("documents", "doc_id", "text"), ("conversations", "conv_id * 1000 + turn", "text"), ("pages", "page_id", "html")):
+    def _as_logs(spark, sf, _table=_table, _key=_key, _text=_text):
+        d = spark.read.parquet(f"{sf}/{_table}.parquet").select(F.expr(_key).alias("tx_id"), F.col(_text).alias("raw_log"))
+        return parse.parse_lines(d).filter(F.col("format_id") == 8).select(
+            "tx_id", "transaction_type", "user_id", "amount", "location")
+    query(f"{_table}_as_logs", f"WITH t AS (SELECT {_key} AS id, {_text} AS text FROM {_table}) {_FREE}")(_as_logs)

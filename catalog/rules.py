@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 from tidewatch.functions import bands
 from tidewatch.functions.numbers import rounded
 from tidewatch.operators import ensemble, reports, scoring, sequence
+from tidewatch.operators.parse import parse_logs, valid_rows
 from tidewatch.operators.rules import DEFAULT_RULES, RuleSet
 from tidewatch.operators.skew import checkpointed
 from tidewatch.plans.features import extract_features
 
-from .data import TX, transactions
+from .data import PARSED, TX, raw_logs, transactions
 from .features import BASIC, CONTEXT, profile_sql, r, sequence_sql
 
 QUERIES, ORACLES = {}, {}
@@ -31,7 +32,7 @@ def ruled(spark, sf, rules=RULES):
 
 
 _D = lambda cond: f"CAST(coalesce({cond}, false) AS INT)::DOUBLE"
-_FEAT = f"""{profile_sql(TX)}, {BASIC}, {sequence_sql('stats AS (SELECT quantile_cont(amount, 0.95) AS q95, quantile_cont(amount, 0.8) AS q80, avg(amount) AS am, stddev_samp(amount) AS asd FROM tx)')}, {CONTEXT},
+_FEAT = ", " + BASIC + ", " + sequence_sql("stats AS (SELECT quantile_cont(amount, 0.95) AS q95, quantile_cont(amount, 0.8) AS q80, avg(amount) AS am, stddev_samp(amount) AS asd FROM tx)") + ", " + CONTEXT + """,
   feat AS (SELECT hours.*, sequence.* EXCLUDE (tx_id), context.* EXCLUDE (tx_id), profile.* EXCLUDE (user_id), stats.*, e.k
     FROM hours LEFT JOIN sequence USING (tx_id) LEFT JOIN context USING (tx_id) LEFT JOIN profile ON hours.user_id = profile.user_id
     JOIN events_k e ON hours.tx_id = e.event_id, stats)"""
@@ -49,8 +50,14 @@ _RULE_SQL = {
 }
 _WEIGHTS = {x.name: x.weight for x in DEFAULT_RULES}
 _SUM = " + ".join(f"rule_{n} * {w}::DOUBLE" for n, w in _WEIGHTS.items())
-_RULED = f"""{_FEAT}, rules0 AS (SELECT *, {', '.join(f'{s} AS rule_{n}' for n, s in _RULE_SQL.items())} FROM feat),
+
+
+def ruled_sql(tx):
+    return f"""{profile_sql(tx)}{_FEAT}, rules0 AS (SELECT *, {', '.join(f'{s} AS rule_{n}' for n, s in _RULE_SQL.items())} FROM feat),
   ruled AS (SELECT *, ({_SUM}) / {sum(_WEIGHTS.values())}::DOUBLE AS rule_score FROM rules0)"""
+
+
+_RULED = ruled_sql(TX)
 _RULE_COLS = [f"rule_{n}" for n in _WEIGHTS]
 
 
@@ -67,10 +74,11 @@ for _name in _WEIGHTS:
 
 _PAIRS = ", ".join(
     f"{{'n': '{n}', 'c': rule_{n} * {w}::DOUBLE, 's': rule_{n}, 'p': {i}}}" for i, (n, w) in enumerate(_WEIGHTS.items()))
-_FIRED = f"""{_RULED}, parts AS (SELECT tx_id, unnest([{_PAIRS}]) AS x FROM ruled),
+_PARTS = f"""parts AS (SELECT tx_id, unnest([{_PAIRS}]) AS x FROM ruled),
   fired AS (SELECT tx_id, string_agg(x.n, '; ' ORDER BY x.c DESC, x.p) AS names,
     string_agg(x.n, '; ' ORDER BY x.c DESC, x.p) FILTER (rn <= 3) AS top3, count(*) AS n
     FROM (SELECT *, row_number() OVER (PARTITION BY tx_id ORDER BY x.c DESC, x.p) AS rn FROM parts WHERE x.s > 0) GROUP BY tx_id)"""
+_FIRED = f"{_RULED}, {_PARTS}"
 
 
 @query("rule_explanations", f"""WITH {_FIRED} SELECT tx_id, coalesce(names, '') AS triggered, round_even(rule_score, 8) AS total_score
@@ -115,6 +123,20 @@ def _(spark, sf):
         "tx_id", "user_id", rounded(F.col("anomaly_score"), 8).alias("anomaly_score"), *_RULE_COLS, "top_triggered_rules")
 
 
+_LOG_TX = PARSED.replace("tx AS (", "etx AS (", 1).replace("tx.*", "etx.*").replace("FROM tx JOIN", "FROM etx JOIN") + """,
+  tx AS (SELECT tx_id, timestamp, user_id, amount, transaction_type, location, device, currency FROM parsed WHERE is_parsed)"""
+
+
+@query("logs_to_risk", f"""WITH {ruled_sql(_LOG_TX)}, {_PARTS} SELECT tx_id, user_id, amount, round_even(rule_score, 8) AS anomaly_score,
+  coalesce(top3, '') AS top_triggered_rules FROM ruled LEFT JOIN fired USING (tx_id) ORDER BY rule_score DESC, tx_id LIMIT 20""")
+def _(spark, sf):
+    """From raw log lines to the riskiest transactions: parse, clean, features, rules, explanations."""
+    parsed = checkpointed(valid_rows(parse_logs(raw_logs(spark, sf))))
+    scored = RULES.score(extract_features(parsed), source=parsed)
+    return RULES.top_anomalies(scored, 20).select(
+        "tx_id", "user_id", "amount", rounded(F.col("anomaly_score"), 8).alias("anomaly_score"), "top_triggered_rules")
+
+
 @query("rule_flags", f"WITH {_RULED} SELECT rule_score > 0.5 AS is_anomaly, count(*) AS n FROM ruled GROUP BY 1")
 def _(spark, sf):
     return RULES.flagged(ruled(spark, sf)).groupBy("is_anomaly").agg(F.count(F.lit(1)).alias("n"))

@@ -20,15 +20,15 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path):
     start = datetime(2024, 3, 1)
     lines = [(i, f"{start + timedelta(minutes=37 * i)}::user{i % 4}::{'refund' if i % 3 else 'debit'}::{i * 10}.0::London::Pixel 6")
              for i in range(60)]
-    raw = spark.createDataFrame([*lines, (99, "MALFORMED_LOG"), (98, None)], "tx_id long, raw_log string")
+    raw = spark.createDataFrame([*lines, (99, "MALFORMED_LOG"), (98, None), (97, "no time::user1::debit::5.0::London::Pixel 6")], "tx_id long, raw_log string")
     path = str(tmp_path / "profile")
     score.save_profile(valid_rows(parse_logs(raw)), path)
     profile = score.load_profile(spark, path)
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(folder(tmp_path, raw))
     cols = ["tx_id", "user_id", "amount", "rule_score"]
-    got = run.run_available(score.score_lines(stream, profile).select(*cols), str(tmp_path / "out"))
+    got = run.run_available(score.score_lines(stream, profile, delay="5 days").select(*cols), str(tmp_path / "out"))
     want = score.score_lines(raw, profile).select(*cols)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 60
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 61
 
 
 def test_stream_sequence_equals_batch_up_to_the_watermark(spark, tmp_path):

@@ -11,7 +11,9 @@ from .skew import distinct_estimate, quantiles, value_counts
 AMOUNT_PROBS = [0.25, 0.5, 0.75, 0.8, 0.95]
 
 
-def amount_statistics(df: DataFrame, limits: ScaleLimits = DEFAULTS.limits, probs=None) -> DataFrame:
+def amount_statistics(
+    df: DataFrame, limits: ScaleLimits = DEFAULTS.limits, probs=None, distinct: int | None = None
+) -> DataFrame:
     """One row: quantiles ``q``, ``mean`` and ``std`` (n - 1) of the amounts.
 
     Everything comes from the counts per distinct amount, so the table is
@@ -23,7 +25,7 @@ def amount_statistics(df: DataFrame, limits: ScaleLimits = DEFAULTS.limits, prob
     rows, weighted = F.sum("n"), F.sum(money(v) * n).cast("double")
     variance = ratio(F.sum(v * v * n) - ratio(weighted * weighted, rows), rows - 1)
     spread = [ratio(weighted, rows).alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std")]
-    distinct = distinct_estimate(df, v)
+    distinct = distinct_estimate(df, v) if distinct is None else distinct
     if distinct <= limits.quantile_values:
         return counts.agg(F.percentile("amount", F.array(*map(F.lit, probs)), n).alias("q"), *spread)
     one = F.lit(1).alias("one")

@@ -56,9 +56,11 @@ def context_tables(cube: DataFrame) -> dict[str, tuple[str, DataFrame]]:
     }
 
 
-def percentile_table(df: DataFrame, limits: ScaleLimits = DEFAULTS.limits) -> tuple[DataFrame, int]:
+def percentile_table(
+    df: DataFrame, limits: ScaleLimits = DEFAULTS.limits, distinct: int | None = None
+) -> tuple[DataFrame, int]:
     """Share of rows at or below each amount (ties get their average), and its size."""
-    distinct = distinct_estimate(df, F.col("amount"))
+    distinct = distinct_estimate(df, F.col("amount")) if distinct is None else distinct
     ranked = ranked_values(df, "amount", distinct, limits)
     return ranked.select(
         "amount", ratio(F.col("below") + (F.col("n") + 1) / 2, F.col("size")).alias("amount_percentile")), distinct
@@ -90,12 +92,13 @@ def apply_context(
 
 
 def contextual_features(
-    df: DataFrame, options: Options = DEFAULTS, source: DataFrame | None = None
+    df: DataFrame, options: Options = DEFAULTS, source: DataFrame | None = None, amounts: int | None = None
 ) -> DataFrame:
     """All contextual features of ``df``, which must already have its ``hour``.
 
     ``source`` is a cheaper plan with the same rows (such as the parsed table that
-    ``df`` was built from); the lookup tables are then made from it.
+    ``df`` was built from); the lookup tables are then made from it. ``amounts`` is the
+    number of distinct amounts, where it is already measured.
     """
     source = df if source is None else source
     given = df.columns
@@ -114,6 +117,6 @@ def contextual_features(
     else:
         sizes = {name: table.count() for name, (_, table) in tables.items()}
     out = apply_context(df, tables, sizes, options)
-    table, distinct = percentile_table(source, options.limits)
+    table, distinct = percentile_table(source, options.limits, amounts)
     out = lookup(out, table, ["amount"], distinct, options.limits)
     return out.select(*given, *CONTEXT_COLUMNS)

@@ -23,6 +23,8 @@ def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

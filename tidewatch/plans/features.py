@@ -10,6 +10,7 @@ from ..config import DEFAULTS, Options
 from ..operators.basic import amount_statistics, basic_features
 from ..operators.context import contextual_features
 from ..operators.sequence import sequence_features
+from ..operators.skew import distinct_estimate
 from ..operators.users import user_features, user_profile
 
 REQUIRED = ["timestamp", "user_id", "amount", "transaction_type"]
@@ -39,12 +40,15 @@ def extract_features(df: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     missing = [c for c in REQUIRED if c not in df.columns]
     if missing:
         warnings.warn(f"missing recommended columns: {', '.join(missing)}", stacklevel=2)
-    stats = amount_statistics(df, options.limits) if "amount" in df.columns else None
+    stats = amounts = None
+    if "amount" in df.columns:
+        amounts = distinct_estimate(df, F.col("amount"))
+        stats = amount_statistics(df, options.limits, distinct=amounts)
     out = sequence_features(df, options.velocity_window_hours, options.limits)
     if "user_id" in df.columns:
         out = user_features(out, user_profile(df))
     out = basic_features(out, stats, options.limits)
-    out = contextual_features(out, options, source=df)
+    out = contextual_features(out, options, source=df, amounts=amounts)
     return out.withColumn("feature_extraction_timestamp", F.current_timestamp())
 
 

@@ -143,3 +143,11 @@ def test_label_encoding_of_unseen_values(spark):
     labels = matrix.label_table(fit, ["c"])
     new = spark.createDataFrame([("a",), ("b",), ("new",), (None,)], "c string")
     assert [r["c_encoded"] for r in matrix.encode(new, labels, ["c"]).collect()] == [0.0, 1.0, 2.0, 2.0]
+
+
+def test_amounts_beyond_the_decimal_range(spark):
+    rows = [(i, "u", datetime(2024, 1, 1, i), a, "refund", "L", "x", "£") for i, a in enumerate([1e20, 3e20, 2e20])]
+    df = spark.createDataFrame(rows, COLUMNS)
+    assert users.user_profile(df).first()["user_total_amount"] == pytest.approx(6e20)
+    out = {r["tx_id"]: r for r in RuleSet().score(extract_features(df)).collect()}
+    assert out[0]["amount_deviation_type"] == pytest.approx(1e20) and out[1]["user_avg_amount"] == pytest.approx(2e20)

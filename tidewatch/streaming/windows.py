@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.bands import risk_band_report
+from ..functions.numbers import total
 
 
 def windowed_risk_counts(
@@ -26,7 +27,7 @@ def session_counts(rows: DataFrame, gap: str = "1 hour", delay: str = "1 day") -
     timed = rows.withWatermark("timestamp", delay) if rows.isStreaming else rows
     known = timed.filter(F.col("timestamp").isNotNull() & F.col("user_id").isNotNull())
     out = known.groupBy(F.session_window("timestamp", gap), "user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast("decimal(18,4)")).cast("double").alias("amount"))
+        F.count(F.lit(1)).alias("n"), total(F.col("amount")).alias("amount"))
     return out.select(
         F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"),
         "user_id", "n", "amount")

@@ -40,14 +40,16 @@ def encode(
     df: DataFrame, labels: DataFrame, columns: list[str], limits: ScaleLimits = DEFAULTS.limits
 ) -> DataFrame:
     """Add ``<column>_encoded``; a value that was not seen in fitting is encoded as ``unknown``."""
-    sizes = {r["feature"]: r["count"] for r in labels.groupBy("feature").count().collect()}
-    unknown = {r["feature"]: r["label"] for r in labels.filter(F.col("value") == UNKNOWN).collect()}
+    known = labels.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("value") == UNKNOWN, F.col("label"))).alias("unknown"))
+    facts = {r["feature"]: (r["n"], r["unknown"] or 0.0) for r in known.collect()}
     for c in columns:
         table = labels.filter(F.col("feature") == c).select(
             F.col("value").alias("_value"), F.col("label").alias(f"{c}_encoded"))
         df = df.withColumn("_value", F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)))
-        df = lookup(df, table, ["_value"], sizes.get(c, 0), limits).drop("_value").withColumn(
-            f"{c}_encoded", F.coalesce(F.col(f"{c}_encoded"), F.lit(unknown.get(c, 0.0))))
+        rows, unknown = facts.get(c, (0, 0.0))
+        df = lookup(df, table, ["_value"], rows, limits).drop("_value").withColumn(
+            f"{c}_encoded", F.coalesce(F.col(f"{c}_encoded"), F.lit(unknown)))
     return df
 
 

@@ -27,6 +27,8 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # A store is closed and its local files removed once its part of a batch is in the shared folder.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 FILES_PER_BATCH = 200
 
@@ -57,6 +59,7 @@ def run_stream(spark: SparkSession, prints: DataFrame, path: str, files_per_batc
     out, session = new_folder(spark, "dedup-changes"), spark.newSession()
     for key, value in STREAM_CONF.items():
         session.conf.set(key, value)
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     stream = session.readStream.schema(prints.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     query = (
         keyed_state(stream).writeStream.outputMode("update").option("checkpointLocation", new_folder(spark, "dedup-state"))

@@ -157,6 +157,28 @@ def test_links_that_the_first_member_lacks(spark):
     assert got == want and set(want.values()) == {0}
 
 
+@pytest.mark.parametrize("columns", [7, 1 << 14])
+def test_blocks_measure_every_pair(monkeypatch, columns):
+    monkeypatch.setattr(probminhash, "COLUMNS", columns)
+    draw = random.Random(6)
+    base = {i: 1 for i in range(60)}
+    texts = []
+    for k in range(30):
+        x = dict(base)
+        for _ in range(draw.randrange(14)):
+            x.pop(draw.choice(list(x)))
+            x[1000 + draw.randrange(5000)] = 1
+        if k % 5 == 0:
+            x |= {i: draw.choice([2, 3]) for i in list(x)[:6]}
+        texts.append(collections.Counter(x))
+    texts.append(collections.Counter())
+    bags = [(np.array(sorted(x), np.uint64), np.array([x[i] for i in sorted(x)], float)) for x in texts]
+    left, right = np.array([0, 3, 5, 30, 7]), np.arange(31)
+    near = probminhash.similar(bags, left, right, 0.8)
+    want = [[bool(texts[i]) and bool(texts[j]) and similarity(texts[i], texts[j]) >= 0.8 - 1e-12 for j in right] for i in left]
+    assert near.tolist() == want
+
+
 def test_registers_estimate_the_exact_similarity():
     draw = random.Random(1)
     a = collections.Counter({i: draw.choice([1, 1, 2, 5]) for i in range(80)})

@@ -8,9 +8,10 @@ agree on a register with the probability Jaccard similarity of their bags.
 
 Registers are grouped into bands. Texts that share a band are candidates; candidates are
 verified exactly on their bags. Copies of one bag are folded before, so each bag is compared
-once. In a bucket, members meet its first member, then its last, and then only pairs that
-are not yet connected; a bucket of near copies costs a comparison per member, and
-no link between different groups is missed.
+once. Members of a bucket first meet its first member. Those that are near it are of its class and
+need no comparison with each other; the rest of its companions is compared with all of them,
+block by block inside tasks, which return classes and never pairs. So no link between classes
+is missed.
 
 Defined results: texts without words (null, empty) are alone in their class; texts of fewer
 than five words are one shingle; equal bags are one class; repeated rows are counted
@@ -26,13 +27,18 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.components import connected_components
-from .common import mix, shingles, stored, table
+from .common import BROADCAST_BYTES, mix, shingles, stored, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
 #: Members that meet one leader in one task.
 CHUNK = 32
+#: Members of a block, of which two are compared in one task, and columns of their matrix at a time.
+BLOCK = 256
+COLUMNS = 1 << 14
+#: An upper bound for a row of four numbers in a broadcast table.
+ROW_BYTES = 96
 BATCH_WORDS = 200_000
 _U = np.float64(2.0 ** -53)
 
@@ -57,13 +63,14 @@ def signatures(rows: np.ndarray, items: np.ndarray, weights: np.ndarray, n_rows:
     best = np.full(n_rows * registers, np.inf)
     owner = np.zeros(n_rows * registers, np.uint64)
     time = np.zeros(len(items))
+    seeds = mix(items ^ np.uint64(0xD1B54A32D192ED03))
     live = np.arange(len(items))
     round_ = 0
     while len(live):
         ahead = max(1, min(64, 20_000 // len(live)))  # arrivals drawn at a time; drawing too many changes nothing
         step = np.arange(round_ + 1, round_ + ahead + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         round_ += ahead
-        draw = mix(items[live, None] + step)
+        draw = mix(seeds[live, None] + step)
         wait = -np.log(((draw >> np.uint64(11)).astype(float) + 0.5) * _U) / weights[live, None]
         arrived = time[live, None] + np.cumsum(wait, axis=1)
         time[live] = arrived[:, -1]
@@ -136,6 +143,17 @@ def sketches(docs: DataFrame, size: int, bands: int, rows_per_band: int) -> Data
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sketched, "doc_id long, bag string, bands array<long>")
 
 
+def _with_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """Join the texts to the rows that ask for them by ``id``.
+
+    Rows are few numbers each. Their count is measured: up to ``BROADCAST_BYTES`` they are broadcast and the
+    texts that nobody asks for aren't moved; beyond it both sides are shuffled.
+    """
+    small = wanted.count() * ROW_BYTES <= BROADCAST_BYTES
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    return texts.join(F.broadcast(wanted) if small else wanted, "id")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float) -> DataFrame:
     """(src, dst, similarity) of all (leader, member) pairs of document ids, with their exact similarity.
 
@@ -148,8 +166,7 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float) ->
     wanted = stored(salted.select(F.col("member").alias("id"), "leader", "chunk").unionByName(
         chunks.select(F.col("leader").alias("id"), "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
     ), "near-wanted")
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    sent = wanted.join(texts, "id").select("leader", "chunk", "id", "text")
+    sent = _with_texts(wanted, docs).select("leader", "chunk", "id", "text")
 
     def compared(key, group):
         import pyarrow as pa
@@ -173,20 +190,101 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float) ->
     return stored(found, "near-verified")
 
 
+def similar(bags_: list, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Matrix of which texts of ``left`` and ``right`` (numbers of bags) are at least ``threshold`` similar.
+
+    Common shingles are counted by products of 0/1 matrices, a slice of the shingles at a time. Without
+    repeated shingles the similarity follows from the counts; other pairs are measured one by one, if
+    the weight they have in common allows it.
+    """
+    n = len(bags_)
+    rows = np.repeat(np.arange(n), [len(i) for i, _ in bags_])
+    items, weights = np.concatenate([i for i, _ in bags_]), np.concatenate([w for _, w in bags_])
+    size = np.bincount(rows, minlength=n).astype(float)
+    share = weights / np.maximum(np.bincount(rows, weights, minlength=n), 1)[rows]
+    plain = np.array([len(w) == 0 or w.max() == 1 for _, w in bags_])
+    _, code, count = np.unique(items, return_inverse=True, return_counts=True)
+    column = np.cumsum(count > 1) - 1  # shingles of one text only can't be common
+    common = count[code] > 1
+    rows, share, column = rows[common], share[common], column[code][common]
+    order = np.argsort(column, kind="stable")
+    rows, share, column = rows[order], share[order], column[order]
+    both = np.zeros((len(left), len(right)))
+    of_left, of_right = np.zeros_like(both), np.zeros_like(both)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, (first, first + COLUMNS)))
+        has = np.zeros((n, min(COLUMNS, int(column[-1]) + 1 - first)), np.float32)
+        has[rows[part], column[part] - first] = 1
+        both += has[left] @ has[right].T
+        if not plain.all():
+            weigh = np.zeros_like(has)
+            weigh[rows[part], column[part] - first] = share[part]
+            of_left += weigh[left] @ has[right].T
+            of_right += has[left] @ weigh[right].T
+    near = both >= threshold * (size[left][:, None] + size[right][None, :] - both) - 1e-9
+    near &= both > 0
+    if not plain.all():
+        odd = ~(plain[left][:, None] & plain[right][None, :])
+        near &= ~odd
+        for i, j in np.argwhere(odd & (np.minimum(of_left, of_right) >= threshold - 1e-4)):
+            near[i, j] = probability_jaccard(*bags_[left[i]], *bags_[right[j]]) >= threshold
+    return near
+
+
+def compared_blocks(docs: DataFrame, company: DataFrame, size: int, threshold: float) -> DataFrame:
+    """(src, dst): links that join all companions of a leader that are near one of its ``rest``.
+
+    Each side is cut into blocks by hash; a task holds two blocks and returns at most one row per text.
+    """
+    counts = company.groupBy("first").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.ceil(F.count_if("rest") / BLOCK).alias("rests")).filter("rests > 0")
+    dealt = company.join(counts, "first")
+    block = lambda n: F.pmod(F.xxhash64("id", F.lit(10)), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    wanted = stored(
+        dealt.select("first", "id", F.lit(False).alias("rest"), block("blocks").alias("a"), each("rests").alias("b")).unionByName(
+            dealt.filter("rest").select("first", "id", "rest", each("blocks").alias("a"), block("rests").alias("b"))), "near-blocks")
+    sent = _with_texts(wanted, docs).select("first", "a", "b", "id", "rest", "text")
+
+    def compared(key, group):
+        import pyarrow as pa
+        ids, rest = np.asarray(group.column("id")), np.asarray(group.column("rest"))
+        own, at = np.unique(ids, return_index=True)
+        text = group.column("text").combine_chunks()
+        text = (text if isinstance(text, pa.Array) else text.chunk(0)).take(pa.array(at))
+        rows, items, weights = bags(text, size)
+        edge = np.searchsorted(rows, np.arange(len(own) + 1))
+        parts = [(items[a:b], weights[a:b]) for a, b in zip(edge[:-1], edge[1:])]
+        left, right = np.searchsorted(own, ids[rest]), np.searchsorted(own, ids[~rest])
+        near = similar(parts, left, right, threshold)
+        label = np.arange(len(own))
+        i, j = np.nonzero(near)
+        i, j = left[i], right[j]
+        while True:  # spread the smallest number along the links
+            low = np.minimum(label[i], label[j])
+            new = label.copy()
+            np.minimum.at(new, i, low)
+            np.minimum.at(new, j, low)
+            if (new == label).all():
+                break
+            label = new
+        moved = np.flatnonzero(label != np.arange(len(own)))
+        return pa.table({"src": pa.array(own[label[moved]], pa.int64()), "dst": pa.array(own[moved], pa.int64())})
+
+    return stored(sent.groupBy("first", "a", "b").applyInArrow(compared, "src long, dst long"), "near-links")
+
+
 def near_groups(
     docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows_per_band: int = ROWS,
 ) -> DataFrame:
-    """(doc_id, class_id, class_size, n_links, bag_id, kept) of every document.
-
-    ``bag_id`` is the smallest id with the same bag, ``n_links`` the verified links of that representative.
-    """
+    """(doc_id, class_id, class_size, bag_id, kept) of every document; ``bag_id`` is the smallest id with the same bag."""
     sketch = stored(sketches(docs, size, bands, rows_per_band), "near-sketches")
     # Rows of one bag are folded to their smallest id; bands are a function of the bag.
     heads = sketch.filter(F.col("bag").isNotNull() & F.col("doc_id").isNotNull()).groupBy("bag").agg(
         F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
     heads = stored(heads, "near-heads")
     members = heads.select("id", F.explode("bands").alias("hash"))
-    hot = members.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
+    hot = members.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").drop("last")
     hot = stored(hot, "near-buckets")
     # Only members of buckets of two or more go on.
     shared = stored(members.join(hot, "hash"), "near-members")
@@ -197,37 +295,21 @@ def near_groups(
     tested = verified(one_text, first, size, threshold)
     links = tested.filter(F.col("similarity") >= threshold).select("src", "dst")
     labels = stored(_components(nodes, links), "near-labels")
-    open_ = _open(shared, labels)
-    if open_ is not None:
-        last = open_.filter("id < last").join(_renamed(labels, "last"), "last").filter("label <> last_label").select(
-            F.col("id").alias("leader"), F.col("last").alias("member"))
-        # The last member leads: it may stand in many pairs, so it takes the leader's place.
-        last = last.select(F.col("member").alias("leader"), F.col("leader").alias("member")).distinct()
-        last = stored(last.join(tested.select(F.col("dst").alias("leader"), F.col("src").alias("member")), ["leader", "member"], "left_anti"), "near-pairs")
-        if last.limit(1).count():
-            tested = tested.unionByName(verified(one_text, last, size, threshold))
-            links = tested.filter(F.col("similarity") >= threshold).select("src", "dst")
-            labels = stored(_components(nodes, links), "near-labels")
-            open_ = _open(shared, labels)
-    if open_ is not None:
-        a = open_.select("hash", F.col("id").alias("leader"), F.col("label").alias("a"))
-        b = open_.select("hash", F.col("id").alias("member"), F.col("label").alias("b"))
-        rest = a.join(b, "hash").filter("leader < member and a <> b").select("leader", "member").distinct()
-        known = tested.select(F.least("src", "dst").alias("leader"), F.greatest("src", "dst").alias("member"))
-        rest = stored(rest.join(known, ["leader", "member"], "left_anti"), "near-pairs")
-        if rest.limit(1).count():
-            tested = tested.unionByName(verified(one_text, rest, size, threshold))
-            links = tested.filter(F.col("similarity") >= threshold).select("src", "dst")
-            labels = stored(_components(nodes, links), "near-labels")
-    ends = links.select(F.explode(F.array("src", "dst")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    facts = heads.select("bag", "id").join(labels, "id").join(ends, "id", "left")
+    # Companions of a leader outside its class may still be near others, whatever bucket they share.
+    company = shared.select("first", "id").distinct().join(labels, "id").join(
+        labels.select(F.col("id").alias("first"), F.col("label").alias("of")), "first")
+    company = stored(company.select("first", "id", (F.col("label") != F.col("of")).alias("rest")), "near-company")
+    if company.filter("rest").limit(1).count():
+        links = links.unionByName(compared_blocks(one_text, company, size, threshold))
+        labels = stored(_components(nodes, links), "near-labels")
+    facts = heads.select("bag", "id").join(labels, "id")
     named = stored(sketch.select("doc_id", "bag").join(facts, "bag", "left"), "near-named")
     sizes = named.groupBy("label").agg(F.count(F.lit(1)).alias("class_size")).filter("label is not null")
     out = named.join(sizes, "label", "left")
     class_id = F.coalesce("label", "doc_id")
     return out.select(
         "doc_id", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("id", "doc_id").alias("bag_id"),
+        F.coalesce("id", "doc_id").alias("bag_id"),
         F.coalesce(F.col("doc_id") == class_id, F.lit(True)).alias("kept"))
 
 
@@ -242,18 +324,6 @@ def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(found, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
 
 
-def _renamed(labels: DataFrame, name: str) -> DataFrame:
-    return labels.select(F.col("id").alias(name), F.col("label").alias(f"{name}_label"))
-
-
-def _open(shared: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Members of the buckets that still hold more than one class, or None."""
-    known = stored(shared.join(labels, "id"), "near-open")
-    torn = known.groupBy("hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    torn = stored(torn.select("hash"), "near-torn")
-    return stored(known.join(torn, "hash"), "near-open") if torn.limit(1).count() else None
-
-
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents of which each class keeps one, with all their columns; documents without words stay."""
     gone = stored(near_groups(docs).filter(~F.col("kept")).select("doc_id"), "near-gone")

@@ -13,6 +13,7 @@ from tidewatch.operators.hierarchy import hierarchy_scores
 from tidewatch.operators.lof import lof_scores
 from tidewatch.operators.neighbours import build_index, nearest_points, weighted_points
 from tidewatch.operators.oneclass import oneclass_scores
+from tidewatch.operators.sequence import sequence_features
 from tidewatch.operators.skew import checkpointed, shared_folder
 from tidewatch.plans import detect
 from tidewatch.plans.features import extract_features
@@ -20,7 +21,7 @@ from tidewatch.sources import stores
 from tidewatch.streaming import run, score, sequence, windows
 
 from .data import PARSED, TX, event_stream, events, raw_logs, to_raw_logs, to_transactions, transactions
-from .features import r
+from .features import r, sequence_sql
 
 QUERIES, ORACLES = {}, {}
 
@@ -201,9 +202,10 @@ def _(spark, sf):
     return detect.evaluate(scored, "quality", "score", [0.3, 0.5, 0.7]).withColumns(r(6, "precision", "recall"))
 
 
-@query("validation_sample", None)
+@query("validation_sample", f"WITH {TX} SELECT * FROM tx ORDER BY md5(tx_id || ':42'), tx_id LIMIT {DEFAULTS.validation_sample}")
 def _(spark, sf):
-    return detect.validation_sample(transactions(spark, sf))
+    out = detect.validation_sample(transactions(spark, sf))
+    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 # --- stores ---------------------------------------------------------------------------
@@ -220,13 +222,13 @@ def _(spark, sf):
 @query("csv_ingest", f"WITH {PARSED} SELECT count(*) AS lines, count(user_id) AS users, round_even(sum(amount), 2) AS amount FROM parsed")
 def _(spark, sf):
     from tidewatch.operators.parse import parse_logs
-    from tidewatch.sources.logs import read_uploaded_logs
+    from tidewatch.sources.logs import CSV, read_uploaded_logs
     path = f"{_fresh(spark, 'raw')}.csv"
-    raw_logs(spark, sf).select("raw_log").write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False).csv(path)
+    raw_logs(spark, sf).select("raw_log").write.options(
+        **CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return parse_logs(read_uploaded_logs(spark, path)).agg(
         F.count(F.lit(1)).alias("lines"), F.count("user_id").alias("users"),
-        rounded(F.sum(F.col("amount").cast("decimal(18,4)")).cast("double"), 2).alias("amount"))
+        rounded(F.sum("amount"), 2).alias("amount"))
 
 
 @query("statistics_document", None)
@@ -255,9 +257,16 @@ def _(spark, sf):
     return run.run_available(scored.select("tx_id", "timestamp", "user_id", "amount", "rule_score"))
 
 
-@query("stream_sequence", None)
+_STREAMED = ["user_id", "tx_id", "timestamp", "tx_velocity_24h", "time_since_last_tx", "location_changed", "device_changed"]
+
+
+@query("stream_sequence", f"""WITH {sequence_sql(TX)} SELECT tx_id, user_id, timestamp, tx_velocity_24h,
+  round_even(time_since_last_tx, 6) AS time_since_last_tx, location_changed, device_changed FROM sequence JOIN tx USING (tx_id)
+  WHERE user_id IS NOT NULL AND timestamp IS NOT NULL""")
 def _(spark, sf):
-    return run.run_available(sequence.stream_sequence(to_transactions(event_stream(spark, sf))))
+    known = transactions(spark, sf).filter("user_id is not null and timestamp is not null")
+    out = run.run_to_the_end(sequence.stream_sequence(to_transactions(event_stream(spark, sf))), sequence_features(known))
+    return out.select(*_STREAMED).withColumns({**r(6, "time_since_last_tx"), "timestamp": F.col("timestamp").cast("timestamp_ntz")})
 
 
 def _amount_band(c):
@@ -287,7 +296,7 @@ def _(spark, sf):
 @query("user_sessions", f"""WITH {TX}, g AS (SELECT *, CASE WHEN timestamp > lag(timestamp) OVER w + INTERVAL 12 HOUR OR lag(timestamp) OVER w IS NULL THEN 1 ELSE 0 END AS s
     FROM tx WHERE timestamp IS NOT NULL AND user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY timestamp)),
   i AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS k FROM g)
-  SELECT user_id, min(timestamp) AS session_start, max(timestamp) + INTERVAL 12 HOUR AS session_end, count(*) AS n, CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) AS amount FROM i GROUP BY user_id, k""")
+  SELECT user_id, min(timestamp) AS session_start, max(timestamp) + INTERVAL 12 HOUR AS session_end, count(*) AS n, round_even(sum(amount), 4) AS amount FROM i GROUP BY user_id, k""")
 def _(spark, sf):
-    out = windows.session_counts(transactions(spark, sf), "12 hours")
+    out = windows.session_counts(transactions(spark, sf), "12 hours").withColumns(r(4, "amount"))
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})

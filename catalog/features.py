@@ -67,7 +67,7 @@ def _(spark, sf):
 
 def profile_sql(tx):
     return f"""{tx}, agg AS (SELECT user_id, count(amount) AS n,
-  CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) AS s, stddev_samp(amount) AS sd, min(amount) AS mn, max(amount) AS mx,
+  sum(amount) AS s, stddev_samp(amount) AS sd, min(amount) AS mn, max(amount) AS mx,
   min(timestamp) AS t0, max(timestamp) AS t1, count(DISTINCT location) AS ul, count(DISTINCT device) AS ud,
   count(DISTINCT transaction_type) AS ut, count(DISTINCT currency) AS uc FROM tx WHERE user_id IS NOT NULL GROUP BY user_id),
 base AS (SELECT user_id, n AS user_tx_count, coalesce(round_even(s / nullif(n, 0), 4), 0) AS user_avg_amount,
@@ -141,9 +141,9 @@ def _(spark, sf):
 
 CONTEXT = """labelled AS (SELECT *, coalesce(location, 'None') || '_' || coalesce(device, 'None') AS location_device,
     coalesce(CAST(hour(timestamp) AS VARCHAR), 'None') || '_' || coalesce(transaction_type, 'None') AS hour_type FROM tx),
-  lf AS (SELECT location, count(*) AS f, CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount) AS m FROM tx WHERE location IS NOT NULL GROUP BY 1),
+  lf AS (SELECT location, count(*) AS f, sum(amount) / count(amount) AS m FROM tx WHERE location IS NOT NULL GROUP BY 1),
   df AS (SELECT device, count(*) AS f FROM tx WHERE device IS NOT NULL GROUP BY 1),
-  tf AS (SELECT transaction_type, count(*) AS f, CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount) AS m FROM tx WHERE transaction_type IS NOT NULL GROUP BY 1),
+  tf AS (SELECT transaction_type, count(*) AS f, sum(amount) / count(amount) AS m FROM tx WHERE transaction_type IS NOT NULL GROUP BY 1),
   ldf AS (SELECT location_device, count(*) AS f FROM labelled GROUP BY 1), htf AS (SELECT hour_type, count(*) AS f FROM labelled GROUP BY 1),
   pct AS (SELECT tx_id, (rank() OVER (ORDER BY amount) + (count(*) OVER (PARTITION BY amount) - 1) / 2) / count(*) OVER () AS amount_percentile
     FROM tx WHERE amount IS NOT NULL),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidewatch.functions.numbers import rounded
 from tidewatch.operators import parse, quality
 
 from .data import PARSED, RAW, TX, raw_logs, transactions
@@ -166,7 +167,7 @@ def _(spark, sf):
     return quality.parsing_errors(raw_logs(spark, sf))
 
 
-@query("sample_valid_lines", None)
+@query("sample_valid_lines", f"""WITH {PARSED} SELECT tx_id, given AS raw_log FROM cls WHERE r IS NOT NULL AND r NOT IN ('', '""', 'MALFORMED_LOG') ORDER BY tx_id LIMIT 10""")
 def _(spark, sf):
     return parse.sample_valid_lines(raw_logs(spark, sf))
 
@@ -185,9 +186,10 @@ def _(spark, sf):
 
 @query("currency_conversion_stats", f"""WITH {TX} SELECT coalesce(currency, 'none') AS original_currency,
   count(*) AS transactions, count(amount) AS transactions_with_amount,
-  CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) AS total_amount FROM tx GROUP BY 1""")
+  round_even(sum(amount), 4) AS total_amount FROM tx GROUP BY 1""")
 def _(spark, sf):
-    return parse.currency_conversion_stats(transactions(spark, sf))
+    out = parse.currency_conversion_stats(transactions(spark, sf))
+    return out.withColumn("total_amount", rounded(F.col("total_amount"), 4))
 
 
 # Whole texts of other tables, read as if they were log lines: nearly all of it is free text.

@@ -49,9 +49,9 @@ def _(spark, sf):
     return P.describe(transactions(spark, sf), ["amount"]).withColumns(r(4, "mean", "std", "q25", "q50", "q75"))
 
 
-_USERS = f"""{TX}, us AS (SELECT user_id, count(amount) AS tx_count, round_even(CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount), 2) AS avg_amount,
+_USERS = f"""{TX}, us AS (SELECT user_id, count(amount) AS tx_count, round_even(sum(amount) / count(amount), 2) AS avg_amount,
   round_even(stddev_samp(amount), 2) AS std_amount, round_even(min(amount), 2) AS min_amount, round_even(max(amount), 2) AS max_amount,
-  round_even(CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE), 2) AS total_amount, count(DISTINCT location) AS unique_locations, count(DISTINCT device) AS unique_devices,
+  round_even(sum(amount), 2) AS total_amount, count(DISTINCT location) AS unique_locations, count(DISTINCT device) AS unique_devices,
   count(DISTINCT transaction_type) AS unique_types FROM tx WHERE user_id IS NOT NULL GROUP BY 1)"""
 
 
@@ -74,8 +74,8 @@ for _n in (10, 15):
 
 @query("overview", f"""WITH {TX} SELECT count(*) AS transactions, count(DISTINCT user_id) AS users, count(DISTINCT transaction_type) AS transaction_types,
   count(DISTINCT location) AS locations, count(DISTINCT currency) AS currencies, count(DISTINCT device) AS devices, CAST(min(timestamp) AS DATE) AS first_day,
-  CAST(max(timestamp) AS DATE) AS last_day, round_even(CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount), 4) AS avg_amount,
-  round_even(CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE), 2) AS total_amount FROM tx""")
+  CAST(max(timestamp) AS DATE) AS last_day, round_even(sum(amount) / count(amount), 4) AS avg_amount,
+  round_even(sum(amount), 2) AS total_amount FROM tx""")
 def _(spark, sf):
     return P.overview(transactions(spark, sf)).withColumns({**r(4, "avg_amount"), **r(2, "total_amount")})
 
@@ -176,7 +176,7 @@ def _(spark, sf):
         r(6, "avg_unique_locations", "avg_unique_devices", "avg_unique_transaction_types"))
 
 
-_MONEY = f"""{TX}, m AS (SELECT user_id, CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) AS t, CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount) AS a
+_MONEY = f"""{TX}, m AS (SELECT user_id, sum(amount) AS t, sum(amount) / count(amount) AS a
   FROM tx WHERE user_id IS NOT NULL GROUP BY 1)"""
 
 
@@ -201,7 +201,7 @@ _VEC = ["transaction_count", "avg_amount", "amount_std", "activity_span"]
 
 
 @query("behaviour_vectors", f"""WITH {TX}, v AS (SELECT user_id, CAST(count(amount) AS DOUBLE) AS transaction_count,
-    coalesce(CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount), 0) AS avg_amount, coalesce(stddev_samp(amount), 0) AS amount_std,
+    coalesce(sum(amount) / count(amount), 0) AS avg_amount, coalesce(stddev_samp(amount), 0) AS amount_std,
     coalesce(CAST({_DAYS.format(a='max(timestamp)', b='min(timestamp)')} AS DOUBLE), 0) AS activity_span FROM tx WHERE user_id IS NOT NULL GROUP BY 1)
   SELECT user_id, {', '.join(f'round_even(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 6) AS {c}_scaled' for c in _VEC)} FROM v""")
 def _(spark, sf):
@@ -219,7 +219,7 @@ for _g in ("transaction_type", "currency"):
       min(amount) FILTER (inside) AS whisker_low, max(amount) FILTER (inside) AS whisker_high, count(*) FILTER (NOT inside) AS outliers FROM i GROUP BY 1""")(_box)
 
 
-@query("amount_by_currency", f"""WITH {TX} SELECT currency, round_even(CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount), 4) AS mean,
+@query("amount_by_currency", f"""WITH {TX} SELECT currency, round_even(sum(amount) / count(amount), 4) AS mean,
   round_even(stddev_samp(amount), 4) AS std, count(amount) AS count FROM tx WHERE currency IS NOT NULL GROUP BY 1""")
 def _(spark, sf):
     return P.amount_by_group(transactions(spark, sf), "currency").withColumns(r(4, "mean", "std"))
@@ -244,7 +244,7 @@ def _(spark, sf):
     return P.top_values(transactions(spark, sf), ["location", "device", "user_id"])
 
 
-@query("user_amount_pattern", f"""WITH {TX} SELECT user_id, round_even(coalesce(CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount), 0), 4) AS mean,
+@query("user_amount_pattern", f"""WITH {TX} SELECT user_id, round_even(coalesce(sum(amount) / count(amount), 0), 4) AS mean,
   round_even(coalesce(stddev_samp(amount), 0), 4) AS std FROM tx WHERE user_id IS NOT NULL GROUP BY 1""")
 def _(spark, sf):
     return P.user_amount_pattern(transactions(spark, sf)).withColumns(r(4, "mean", "std"))

@@ -243,8 +243,8 @@ def _mode(col, rows, keys="user_id"):
       ORDER BY {col} IS NULL, count(*) DESC, {col}) AS rn FROM {rows} WHERE user_id IS NOT NULL GROUP BY {keys}, {col}) WHERE rn = 1)"""
 
 
-_MEAN = "round_even(CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount), 4)"
-_TOTAL = "round_even(CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE), 4)"
+_MEAN = "round_even(sum(amount) / count(amount), 4)"
+_TOTAL = "round_even(sum(amount), 4)"
 _BY_METHOD = f"""{SCORED}, longs AS (SELECT user_id, amount, unnest([{', '.join(f"{{'m': '{m}', 's': {m}_score}}" for m in _METHODS)}]) AS x FROM scored WHERE user_id IS NOT NULL),
   um AS (SELECT x.m AS method, user_id, round_even(avg(x.s), 4) AS mean_score, round_even(max(x.s), 4) AS max_score, count(*) AS tx_count, {_MEAN} AS avg_amount
     FROM longs GROUP BY ALL)"""
@@ -259,7 +259,7 @@ def _(spark, sf):
 
 
 @query("method_user_summary", f"""WITH {_BY_METHOD} SELECT method, count(*) AS users, count(*) FILTER (mean_score > 0.6) AS high_risk_users,
-  count(*) FILTER (mean_score > 0.8) AS critical_users, round_even(CAST(sum(CAST(mean_score AS DECIMAL(18, 4))) AS DOUBLE) / count(*), 6) AS avg_score, max(max_score) AS highest_score FROM um GROUP BY 1""")
+  count(*) FILTER (mean_score > 0.8) AS critical_users, round_even(sum(mean_score) / count(*), 6) AS avg_score, max(max_score) AS highest_score FROM um GROUP BY 1""")
 def _(spark, sf):
     return scoring.method_user_summary(scored(spark, sf)).withColumns(r(6, "avg_score"))
 

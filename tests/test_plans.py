@@ -59,3 +59,14 @@ def test_every_query_has_a_sound_entry(spark):
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries)
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_quoted_csv(spark, tmp_path, multi_line):
+    from tidewatch.sources.logs import read_logs, read_uploaded_logs
+    lines = ['a, "b" and ""c""', "back\\slash", '""', "2025-07-05 19:18:10::user1069::debit::2995.12::London::Pixel \"6\""]
+    lines += ["two\nlines, quoted"] if multi_line else []
+    path = tmp_path / "logs.csv"
+    path.write_text("raw_log\n" + "".join('"' + x.replace('"', '""') + '"\n' for x in lines))
+    for read in (read_logs, read_uploaded_logs):
+        assert [r["raw_log"] for r in read(spark, str(path), multi_line=multi_line).orderBy("tx_id").collect()] == lines

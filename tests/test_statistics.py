@@ -99,3 +99,12 @@ def test_lookup_without_broadcast(spark):
     for limits in (ScaleLimits(), ScaleLimits(broadcast_rows=0)):
         out = {r["id"]: r["v"] for r in skew.lookup(df, table, ["k"], 1, limits).collect()}
         assert out == {1: 9, 2: None, 3: None}
+
+
+@pytest.mark.parametrize("amounts", [[1e9, 1e9 + 1, 1e9 + 2], [1e-5, 2e-5, 4e-5], [1e15, 1e15 + 8, 3.0]])
+def test_spread_of_large_close_amounts(spark, amounts):
+    df = spark.createDataFrame([(i, a, "u") for i, a in enumerate(amounts)], "tx_id long, amount double, user_id string")
+    row = basic.amount_statistics(df).first()
+    assert row["mean"] == pytest.approx(np.mean(amounts)) and row["std"] == pytest.approx(np.std(amounts, ddof=1))
+    from tidewatch.functions.numbers import total
+    assert df.agg(total(F.col("amount"))).first()[0] == pytest.approx(sum(amounts))

@@ -1,4 +1,4 @@
-"""Rounding, safe arithmetic and exact money sums."""
+"""Rounding and safe arithmetic."""
 
 from pyspark.sql import Column, functions as F
 
@@ -13,24 +13,9 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-_MONEY_LIMIT = 1e13
-
-
-def money(col: Column) -> Column:
-    """Money as a decimal, so that sums do not depend on the order of the rows.
-
-    Null beyond the range of the type; :func:`total` then falls back to plain sums.
-    """
-    return col.try_cast("decimal(18,4)")
-
-
-def exact_or_plain(exact: Column, plain: Column, largest: Column) -> Column:
-    """The decimal sum, unless an amount (text can hold any number) is too large for it."""
-    return F.when(largest < _MONEY_LIMIT, exact.cast("double")).otherwise(plain)
-
-
 def total(col: Column) -> Column:
-    return exact_or_plain(F.sum(money(col)), F.sum(col), F.max(F.abs(col)))
+    """Sum of doubles; callers round the result, never the addends."""
+    return F.sum(col)
 
 
 def mean(col: Column) -> Column:

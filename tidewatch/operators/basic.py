@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS, DEVICE_BRANDS, TRANSACTION_GROUPS, ScaleLimits
-from ..functions.numbers import exact_or_plain, money, ratio, rounded
+from ..functions.numbers import ratio, rounded
 from .skew import distinct_estimate, quantiles, value_counts
 
 AMOUNT_PROBS = [0.25, 0.5, 0.75, 0.8, 0.95]
@@ -23,9 +23,10 @@ def amount_statistics(
     v, n = F.col("amount"), F.col("n")
     counts = value_counts(df, "amount")
     rows = F.sum("n")
-    weighted = exact_or_plain(F.sum(money(v) * n), F.sum(v * n), F.max(F.abs(v)))
-    variance = ratio(F.sum(v * v * n) - ratio(weighted * weighted, rows), rows - 1)
-    spread = [ratio(weighted, rows).alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std")]
+    mean = ratio(F.sum(v * n), rows)
+    # Squares of distances from the mean: sums of squares would cancel for large, close amounts.
+    off = v - counts.agg(mean).scalar()
+    spread = [mean.alias("mean"), F.sqrt(ratio(F.sum(off * off * n), rows - 1)).alias("std")]
     distinct = distinct_estimate(df, v) if distinct is None else distinct
     if distinct <= limits.quantile_values:
         return counts.agg(F.percentile("amount", F.array(*map(F.lit, probs)), n).alias("q"), *spread)

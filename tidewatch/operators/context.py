@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import DEFAULTS, Options, ScaleLimits
-from ..functions.numbers import exact_or_plain, money, ratio
+from ..functions.numbers import ratio
 from .skew import checkpointed, distinct_estimate, lookup, ranked_values
 
 CONTEXT_COLUMNS = [
@@ -29,9 +29,7 @@ def frequency_cube(df: DataFrame) -> DataFrame:
     """
     cube = df.groupBy("location", "device", "transaction_type", "hour").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(money(F.col("amount"))).alias("amount_sum"),
-        F.sum("amount").alias("amount_plain"),
-        F.max(F.abs("amount")).alias("amount_top"),
+        F.sum("amount").alias("amount_sum"),
         F.count("amount").alias("amount_n"),
     )
     return cube.withColumns({
@@ -44,8 +42,7 @@ def frequency_table(cube: DataFrame, key: str, name: str, with_mean: bool = Fals
     """``<name>_frequency`` per non-null key, with the mean amount where asked."""
     aggs = [F.sum("n").alias(f"{name}_frequency")]
     if with_mean:
-        amounts = exact_or_plain(F.sum("amount_sum"), F.sum("amount_plain"), F.max("amount_top"))
-        aggs.append(ratio(amounts, F.sum("amount_n")).alias(f"_{name}_mean"))
+        aggs.append(ratio(F.sum("amount_sum"), F.sum("amount_n")).alias(f"_{name}_mean"))
     return cube.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
 
 

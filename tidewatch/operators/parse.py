@@ -261,9 +261,9 @@ def valid_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("is_parsed"))
 
 
-def sample_valid_lines(df: DataFrame, column: str = "raw_log", n: int = 10) -> DataFrame:
-    """The first ``n`` lines that are neither empty nor malformed."""
-    return df.filter(log_class(F.col(column)) == "log").limit(n)
+def sample_valid_lines(df: DataFrame, column: str = "raw_log", n: int = 10, order: str = "tx_id") -> DataFrame:
+    """The first ``n`` lines, in ``order``, that are neither empty nor malformed."""
+    return df.filter(log_class(F.col(column)) == "log").orderBy(order).limit(n)
 
 
 def currency_conversion_stats(parsed: DataFrame, currency: str = "currency", amount: str = "amount") -> DataFrame:

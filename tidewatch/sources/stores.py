@@ -10,9 +10,14 @@ from ..operators.quality import quality_report, recommendations
 from ..operators.reports import detailed_report, fraud_report_lines
 
 
-def write_parsed(parsed: DataFrame, path: str) -> None:
-    """The parsed table, partitioned by day so that later reads can skip days."""
-    parsed.withColumn("day", F.to_date("timestamp")).write.mode("overwrite").partitionBy("day").parquet(path)
+def write_parsed(parsed: DataFrame, path: str, files_per_day: int = 4) -> None:
+    """The parsed table, partitioned by day so that later reads can skip days.
+
+    Rows are dealt by day and a salt first, so a day is written by at most ``files_per_day`` tasks
+    and a busy day by that many.
+    """
+    salt = F.pmod(F.xxhash64(*parsed.columns), F.lit(files_per_day))
+    parsed.withColumn("day", F.to_date("timestamp")).repartition("day", salt).write.mode("overwrite").partitionBy("day").parquet(path)
 
 
 def read_parsed(spark: SparkSession, path: str) -> DataFrame:

@@ -20,13 +20,22 @@ def run_available(stream: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
+def run_to_the_end(stream: DataFrame, batch: DataFrame, key: str = "tx_id") -> DataFrame:
+    """A stream over a source that has ended: what it emitted, and from ``batch`` what still waited for the watermark.
+
+    ``batch`` computes the same columns over all rows of the source, those without a time or user included.
+    """
+    done = run_available(stream)
+    return done.unionByName(batch.select(*done.columns).join(done.select(key), key, "left_anti"))
+
+
 def run_complete(stream: DataFrame) -> DataFrame:
-    """Final counts of a windowed stream. Only for small results: they are kept in memory."""
+    """Final counts of a windowed stream: every batch overwrites the table of results with all of them."""
     spark = stream.sparkSession
-    name = f"stream_{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     query = (
-        stream.writeStream.format("memory").queryName(name).outputMode("complete")
-        .option("checkpointLocation", f"{shared_folder(spark).rstrip('/')}/{name}")
+        stream.writeStream.outputMode("complete").option("checkpointLocation", f"{base}/state")
+        .foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{base}/rows"))
         .trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(stream.schema).parquet(f"{base}/rows")

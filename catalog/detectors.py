@@ -10,7 +10,7 @@ from tidewatch.operators import matrix as M, profiling, scoring
 from tidewatch.operators.dbscan import dbscan_labels, dbscan_scores
 from tidewatch.operators.forest import fit_isolation_forest
 from tidewatch.operators.hierarchy import hierarchy_scores
-from tidewatch.operators.lof import lof_scores
+from tidewatch.operators.lof import fit_lof, lof_scores
 from tidewatch.operators.neighbours import build_index, nearest_points, weighted_points
 from tidewatch.operators.oneclass import oneclass_scores
 from tidewatch.operators.sequence import sequence_features
@@ -130,6 +130,20 @@ def _(spark, sf):
     return lof_scores(vectors(spark, sf), _K, "lof", chunk_rows=200).select("tx_id", rounded(F.col("lof"), 6).alias("lof"))
 
 
+@query("lof_new_rows", f"""WITH {_PAIRS}, rx AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY d, o) AS rn FROM pairs WHERE g % 2 = 1 AND o % 2 = 0),
+  rf AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY d, o) AS rn FROM pairs WHERE g % 2 = 0 AND o % 2 = 0 AND g <> o),
+  nx AS (SELECT * FROM rx WHERE rn <= {_K}), nf AS (SELECT * FROM rf WHERE rn <= {_K}),
+  kd AS (SELECT g, max(d) AS kdist FROM nf GROUP BY 1),
+  lf AS (SELECT nf.g, 1 / (avg(greatest(d, kdist)) + 1e-10) AS dens FROM nf JOIN kd ON nf.o = kd.g GROUP BY 1),
+  lx AS (SELECT nx.g, 1 / (avg(greatest(d, kdist)) + 1e-10) AS dens FROM nx JOIN kd ON nx.o = kd.g GROUP BY 1)
+  SELECT nx.g AS tx_id, round_even(avg(lf.dens) / any_value(lx.dens), 6) AS lof FROM nx JOIN lf ON nx.o = lf.g JOIN lx ON nx.g = lx.g GROUP BY 1""")
+def _(spark, sf):
+    """A model of the even rows judges the odd ones, as new data."""
+    x = checkpointed(vectors(spark, sf))
+    model = fit_lof(x.filter("tx_id % 2 = 0"), _K, chunk_rows=200)
+    return model.score(x.filter("tx_id % 2 = 1"), "lof").select("tx_id", rounded(F.col("lof"), 6).alias("lof"))
+
+
 _EPS = 1.165
 _DBSCAN = f"""{_PAIRS}, near AS (SELECT g, o FROM pairs WHERE d <= {_EPS}), core AS (SELECT g FROM near GROUP BY 1 HAVING count(*) >= 5),
   ce AS (SELECT near.g, near.o FROM near JOIN core a ON near.g = a.g JOIN core b ON near.o = b.g),

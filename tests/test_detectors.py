@@ -8,9 +8,9 @@ from tidewatch.operators.dbscan import dbscan_labels, dbscan_scores
 from tidewatch.operators.forest import fit_isolation_forest
 from tidewatch.operators.hierarchy import hierarchy_scores
 from tidewatch.operators.importance import permutation_importance, shuffled_partner
-from tidewatch.operators.lof import lof_scores
+from tidewatch.operators.lof import fit_lof, load_lof, lof_scores
 from tidewatch.operators.neighbours import build_index, nearest_points, weighted_points
-from tidewatch.operators.oneclass import oneclass_scores
+from tidewatch.operators.oneclass import fit_oneclass, oneclass_scores
 from tidewatch.operators.skew import checkpointed
 
 
@@ -55,6 +55,31 @@ def test_lof(spark, blobs, chunk):
     assert out[-3:].min() > 1.5
 
 
+@pytest.mark.parametrize("chunk", [5000, 30])
+def test_lof_of_new_rows(spark, blobs, tmp_path, chunk):
+    fitted, new, k = blobs[::2], blobs[1::2], 10
+    model = fit_lof(table(spark, fitted), k, chunk_rows=chunk)
+    model.save(str(tmp_path / "lof"))
+    d = pairwise(fitted)
+    np.fill_diagonal(d, np.inf)
+    own = np.argsort(d, axis=1, kind="stable")[:, :k]
+    kdist = np.take_along_axis(d, own, 1)[:, -1]
+    density = 1 / (np.maximum(np.take_along_axis(d, own, 1), kdist[own]).mean(1) + 1e-10)
+    gap = np.sqrt(((new[:, None] - fitted[None]) ** 2).sum(-1))
+    near = np.argsort(gap, axis=1, kind="stable")[:, :k]
+    want = density[near].mean(1) * (np.maximum(np.take_along_axis(gap, near, 1), kdist[near]).mean(1) + 1e-10)
+    for m in (model, load_lof(spark, str(tmp_path / "lof"))):
+        got = m.score(table(spark, new), "s").toPandas().sort_values("tx_id")["s"].to_numpy()
+        assert len(got) == len(new) and np.allclose(got, want, rtol=1e-6)
+
+
+def test_one_class_of_new_rows(spark, blobs):
+    model = fit_oneclass(table(spark, blobs[:240]), steps=6)
+    everything = model.score(table(spark, blobs), "s").toPandas().sort_values("tx_id")["s"].to_numpy()
+    alone = model.score(table(spark, blobs[240:]), "s").toPandas().sort_values("tx_id")["s"].to_numpy()
+    assert np.allclose(everything[240:], alone) and alone.min() > np.quantile(everything[:240], 0.8)
+
+
 def test_neighbours_across_cells(spark, blobs):
     points = checkpointed(weighted_points(table(spark, blobs)))
     index = build_index(points, 25)

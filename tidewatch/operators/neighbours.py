@@ -170,18 +170,32 @@ def _merge(lists: DataFrame, k: int) -> DataFrame:
 
 
 def nearest_points(index: CellIndex, k: int) -> DataFrame:
-    """(gid, neighbours): the ``k`` nearest weighted points of every point, itself included.
+    """(gid, neighbours): the ``k`` nearest weighted points of every point, itself included."""
+    return _search(index, index.points, k)
 
-    Each point first asks its own cell; the distance found there bounds the search
-    of the other cells.
-    """
+
+def nearest_to(index: CellIndex, queries: DataFrame, k: int) -> DataFrame:
+    """(gid, neighbours): the ``k`` nearest weighted points of every row of (gid, features), indexed or not."""
+    used = np.array(sorted(index.counts))
+    shared = queries.sparkSession.sparkContext.broadcast((used, index.pivots[used]))
+
+    @F.pandas_udf("int")
+    def cell(features: pd.Series) -> pd.Series:
+        numbers, pivots = shared.value
+        return pd.Series(numbers[distances(_stack(features), pivots).argmin(1)] if len(features) else [], dtype="int32")
+
+    return _search(index, checkpointed(queries.select("gid", "features", cell("features").alias("cell"))), k)
+
+
+def _search(index: CellIndex, placed: DataFrame, k: int) -> DataFrame:
+    """Each row first asks its own cell; the distance found there bounds the search of the other cells."""
     p = index.points
-    home = compare(index, p.withColumn("target", F.col("cell")), p, _nearest_kernel(k), _LISTS)
+    home = compare(index, placed.withColumn("target", F.col("cell")), p, _nearest_kernel(k), _LISTS)
     first = checkpointed(_merge(home, k))
     if len(index.counts) <= 1:
         return first
     reach = F.when(F.size("neighbours") >= k, F.element_at("neighbours", -1)["dist"]).otherwise(F.lit(1e300))
-    bounded = p.join(first.select("gid", reach.alias("reach")), "gid")
+    bounded = placed.join(first.select("gid", reach.alias("reach")), "gid")
     away = compare(index, route(index, bounded, "reach", own_cell=False), p, _nearest_kernel(k), _LISTS)
     own = first.select(
         "gid", F.transform("neighbours", lambda z: z["nid"]).alias("nid"),

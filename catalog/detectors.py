@@ -195,6 +195,14 @@ def _(spark, sf):
     return out.select("tx_id", "user_id", "rule_score", "isolation_forest_score", "lof_score", "dbscan_score", "ensemble_score")
 
 
+@query("detect_all_methods", None)
+def _(spark, sf):
+    """The scores of all five methods on one feature table."""
+    f = features(spark, sf)
+    out = detect.fit_detectors(f, methods=detect.ALL_METHODS).score(f)
+    return out.select("tx_id", "user_id", "rule_score", *map(scoring.score_column, detect.ALL_METHODS), "ensemble_score")
+
+
 @query("permutation_importance", None)
 def _(spark, sf):
     f = features(spark, sf)
@@ -247,8 +255,9 @@ def _(spark, sf):
 
 @query("statistics_document", None)
 def _(spark, sf):
-    from tidewatch.operators.quality import parsing_counters
-    return stores.statistics_document(parsing_counters(raw_logs(spark, sf)))
+    from tidewatch.operators.quality import format_report, parsing_counters, parsing_errors
+    raw = raw_logs(spark, sf)
+    return stores.statistics_document(parsing_counters(raw), parsing_errors(raw), format_report(raw))
 
 
 @query("detector_store", None)

@@ -1,11 +1,15 @@
 """Feature queries, with their SQL counterparts."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewatch.functions.numbers import rounded
 from tidewatch.operators import basic, context, sequence, users
 from tidewatch.operators.profiling import feature_profile
+from tidewatch.operators.skew import shared_folder
 from tidewatch.plans.features import extract_features, feature_catalogue
+from tidewatch.sources.stores import read_features, write_features
 
 from .data import ORDER_TX, TX, order_transactions, transactions
 
@@ -201,8 +205,19 @@ _ALL = ["tx_id", "hour", "is_weekend", "amount_category", "device_brand", "user_
   round_even(amount_percentile, 6) AS amount_percentile, round_even(amount_deviation_type, 4) AS amount_deviation_type
   FROM tx LEFT JOIN profile ON tx.user_id = profile.user_id LEFT JOIN sequence USING (tx_id) LEFT JOIN context USING (tx_id), q""")
 def _(spark, sf):
-    out = extract_features(transactions(spark, sf))
-    return out.select(*_ALL).withColumns({**r(6, "amount_percentile"), **r(4, "amount_deviation_type")})
+    return _shown(extract_features(transactions(spark, sf)))
+
+
+def _shown(features):
+    return features.select(*_ALL).withColumns({**r(6, "amount_percentile"), **r(4, "amount_deviation_type")})
+
+
+@query("feature_store", ORACLES["all_features"])
+def _(spark, sf):
+    """The feature table, written by day and read again."""
+    path = f"{shared_folder(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
+    write_features(extract_features(transactions(spark, sf)), path)
+    return _shown(read_features(spark, path))
 
 
 @query("feature_catalogue", None)

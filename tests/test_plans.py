@@ -1,5 +1,7 @@
 """Stores, detector persistence, and the shape of plans."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ def test_detection_and_persistence(spark, features, tmp_path):
     assert scored.count() == features.count()
     bad = scored.filter((F.col("ensemble_score") < 0) | (F.col("ensemble_score") > 1) | F.col("ensemble_score").isNull())
     assert bad.count() == 0
+    w = model.options.ensemble
+    parts = {"rule_score": w.rule_weight, "isolation_forest_score": w.isolation_weight,
+             "lof_score": w.autoencoder_weight, "dbscan_score": w.clustering_weight}
+    for row in scored.select("ensemble_score", *parts).collect():
+        assert row["ensemble_score"] == pytest.approx(min(1, max(0, sum(row[c] * v for c, v in parts.items()))))
     path = str(tmp_path / "model")
     model.save(path)
     again = detect.load_detectors(spark, path).score(features)
@@ -42,6 +49,23 @@ def test_reports_are_written(spark, features, tmp_path):
     assert text[0] == f"Total transactions: {features.count()}"
 
 
+def test_statistics_document(spark):
+    from tidewatch.operators.quality import parsing_counters
+    raw = spark.createDataFrame([("a",), ("MALFORMED_LOG",), ("",)], "raw_log string")
+    errors = spark.createDataFrame([("late", 2), ("odd", 5), ("also", 2)], "error string, occurrences long")
+    formats = spark.createDataFrame(
+        [(2, "b", 4, 2, 50.0), (1, "a", 1, 1, 100.0)], "format_id int, format string, lines long, parsed long, success_rate_percent double")
+    counters = parsing_counters(raw)
+    doc = json.loads(stores.statistics_document(counters, errors, formats).first()["value"])
+    assert doc["common_errors"] == [
+        {"error": "odd", "occurrences": 5}, {"error": "also", "occurrences": 2}, {"error": "late", "occurrences": 2}]
+    assert [f["format"] for f in doc["format_analysis"]] == ["a", "b"] and doc["format_analysis"][1]["success_rate_percent"] == 50.0
+    assert doc["raw_parsing_data"]["total_logs"] == 3
+    none = json.loads(stores.statistics_document(counters, errors.limit(0), formats.limit(0)).first()["value"])
+    assert none["common_errors"] == [] and none["format_analysis"] == []
+    assert "common_errors" not in json.loads(stores.statistics_document(counters).first()["value"])
+
+
 def test_scan_reads_only_needed_columns(spark):
     from tidewatch.operators.users import user_profile
     plan = user_profile(transactions(spark, SF)).select("user_id", "user_tx_count")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.quality import quality_report, recommendations
 from ..operators.reports import detailed_report, fraud_report_lines
@@ -40,8 +40,22 @@ def report_name(prefix: str, when: datetime) -> str:
     return f"{prefix}_{when:%d-%m-%y-%H-%M}"
 
 
-def statistics_document(counters: DataFrame) -> DataFrame:
-    """One JSON line: metadata, statistics and the raw counts."""
+def statistics_document(counters: DataFrame, errors: DataFrame | None = None, formats: DataFrame | None = None) -> DataFrame:
+    """One JSON line: metadata, statistics and the raw counts.
+
+    ``errors`` (of ``parsing_errors``) and ``formats`` (of ``format_report``) add the common errors and the
+    layouts; both have a few rows whatever the number of lines.
+    """
+    def listed(df: DataFrame, first: Column, columns: list[str]) -> Column:
+        rows = F.array_sort(F.collect_list(F.struct(first.alias("at"), F.struct(*columns).alias("row"))))
+        return df.agg(F.transform(rows, lambda x: x["row"]).alias("a")).select("a").scalar()
+
+    more = []
+    if errors is not None:
+        order = F.struct(-F.col("occurrences"), F.col("error"))
+        more.append(listed(errors, order, ["error", "occurrences"]).alias("common_errors"))
+    if formats is not None:
+        more.append(listed(formats, F.col("format_id"), ["format", "lines", "parsed", "success_rate_percent"]).alias("format_analysis"))
     quality = quality_report(counters)
     advice = recommendations(counters).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("position", "recommendation"))), lambda x: x["recommendation"]
@@ -51,13 +65,16 @@ def statistics_document(counters: DataFrame) -> DataFrame:
                  F.lit("Transaction Log Parsing Statistics").alias("report_type")).alias("report_metadata"),
         quality.select(F.struct(*quality.columns)).scalar().alias("statistics"),
         advice.select("a").scalar().alias("recommendations"),
+        *more,
         F.struct(*counters.columns).alias("raw_parsing_data"),
     ).alias("d"))
     return doc.select(F.to_json("d").alias("value"))
 
 
-def write_statistics(counters: DataFrame, path: str) -> None:
-    statistics_document(counters).coalesce(1).write.mode("overwrite").text(path)
+def write_statistics(
+    counters: DataFrame, path: str, errors: DataFrame | None = None, formats: DataFrame | None = None
+) -> None:
+    statistics_document(counters, errors, formats).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_detailed_report(scored: DataFrame, path: str) -> None:

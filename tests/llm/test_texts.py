@@ -91,6 +91,19 @@ def test_links_discount_and_siblings_stay():
     assert article.main_text(page) == f"{story}\n{story}"
 
 
+def test_article_in_several_wrapped_sections_stays_whole():
+    story = " ".join(STORY.split())
+    wrapped = "".join(f"<div class=row><div class=col><p>{i} {STORY}</p></div></div>" for i in range(3))
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>A rather long link text, {i}</a></li>" for i in range(9)) + "</ul>"
+    want = [f"{i} {story}" for i in range(3)]
+    for page in (f"<body>{menu}<div class=site>{wrapped}</div></body>", f"<body><div class='site has-sidebar comments-open'>{wrapped}</div>{menu}</body>"):
+        assert article.main_text(page).split("\n") == want
+    mixed = f"<body>{menu}<div><div><p>{STORY * 8}</p></div></div><div><div><p>{STORY}</p></div></div><section><h3>End</h3><p>Short closing.</p></section><pre>x = 1</pre></body>"
+    assert article.main_text(mixed).split("\n") == [" ".join((STORY * 8).split()), story, "End", "Short closing.", "x = 1"]
+    names = {"sidebar": 1, "site-header": 1, "ad-3": 1, "cookie-notice big": 1, "has-sidebar": 0, "side-by-side": 0, "social-science": 0, "article-header": 0}
+    assert {n: int(article.is_bad("div", f' class="{n}"')) for n in names} == names
+
+
 def test_pages_query(spark):
     out = article.op3_tree_scoring(spark, SF)
     assert out.columns == ["page_id", "url", "text", "n_chars"]

@@ -2,9 +2,11 @@
 
 A page is cut into tags and text and built into a tree. Paragraphs earn points for length
 and commas and pass them on to their ancestors, less at each step up; every container is discounted by its
-link density. The best container is kept, with those of its siblings that score near it or
-hold a long text with few links. Blocks inside that are menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or comments of readers are left out.
+link density. From the best container the way goes up to the ancestor that holds every block of running text
+of the page, so an article in several wrapped sections stays whole. That ancestor is kept with its siblings; beside the best
+container, only blocks that are mostly links are left out. Menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles and comments of readers are left out everywhere; names of classes and ids
+count as furniture only as whole tokens (``sidebar``, ``site-header``, but not ``has-sidebar``).
 
 Pages are independent: one pass of bounded Arrow batches, no shuffle.
 
@@ -34,23 +36,37 @@ _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _DROPPED = frozenset("nav aside footer form header button dialog menu object".split())
 _POINTED = frozenset("p td pre blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption".split())
-_BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|respond|disqus|cookies?|consent|notice|notices|gdpr|popup|modal|newsletter|subscribe"
-    r"|sidebar|side|nav|navbar|navigation|menu|footer|header|masthead|related|share|sharing|social|sponsor\w*|promo|promoted|widget|login|signup|toolbar)(?:[\s_-]|$)", re.I)
+_BAD_WORD = re.compile(
+    r"ads?|advert\w*|banner|breadcrumbs?|comments?|respond|disqus|cookies?|consent|notice|notices|gdpr|popup|modal|newsletter|subscribe"
+    r"|sidebar|side|nav|navbar|navigation|menu|footer|header|masthead|related|share|sharing|social|sponsor\w*|promo|promoted|widget|login|signup|toolbar", re.I)
+#: What a furniture name may have beside furniture words.
+_PLAIN_WORD = re.compile(
+    r"\d*|site|page|main|global|top|bottom|left|right|upper|lower|primary|secondary|mobile|desktop|sticky|fixed|container|wrapper|wrap|outer|inner|box|area|bar|block"
+    r"|section|panel|region|row|col|column|list|item|items|links?|buttons?|icons?|media|policy|message|text|form|posts|articles|stories|slot|unit|content", re.I)
 _BAD_ROLE = re.compile(r"role\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|dialog|alert|form|menu)", re.I)
 _NAME = re.compile(r"(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _GOOD_TAGS = {"article": 1.5, "main": 1.3}
-#: A sibling of the best container is kept from this share of its points on.
-SIBLING_SHARE = 0.2
+#: Beside the best container, a block with this share of its text in links is no running text.
+LINKED = 0.5
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "text", "links", "points", "bad", "order")
+    __slots__ = ("tag", "parent", "children", "text", "links", "points", "bad", "order", "held")
 
     def __init__(self, tag, parent, bad=False, order=0):
         self.tag, self.parent, self.bad, self.order = tag, parent, bad, order
-        self.children, self.text, self.links, self.points = [], 0, 0, 0.0
+        self.children, self.text, self.links, self.points, self.held = [], 0, 0, 0.0, 0
+
+
+def furniture(names: str) -> bool:
+    """Whether one of the class names and ids consists of furniture words only, beside plain ones."""
+    for name in names.split():
+        words = re.split("[_-]+", name)
+        bad = [bool(_BAD_WORD.fullmatch(w)) for w in words]
+        if any(bad) and all(b or _PLAIN_WORD.fullmatch(w) for b, w in zip(bad, words)):
+            return True
+    return False
 
 
 def is_bad(tag: str, attributes: str) -> bool:
@@ -60,7 +76,7 @@ def is_bad(tag: str, attributes: str) -> bool:
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
     names = " ".join(a or b or c for a, b, c in _NAME.findall(attributes))
-    return bool(names and _BAD_NAME.search(names) or _BAD_ROLE.search(attributes) or _HIDDEN.search(attributes))
+    return bool(furniture(names) or _BAD_ROLE.search(attributes) or _HIDDEN.search(attributes))
 
 
 def tree(page: str) -> Node:
@@ -159,7 +175,8 @@ def blocks(node: Node, keep_bad: bool = False) -> list[str]:
 
 
 def measured(root: Node) -> list[Node]:
-    """All nodes that aren't furniture, children after parents, with text and link lengths and their points."""
+    """All nodes that aren't furniture, children after parents, with text and link lengths, their points
+    and how many blocks of running text they hold."""
     order, stack = [], [root]
     while stack:
         at = stack.pop()
@@ -176,14 +193,47 @@ def measured(root: Node) -> list[Node]:
         if at.tag in _POINTED or loose:
             if at.text >= 10:
                 commas = sum(c.count(",") + c.count("،") + c.count("、") for c in at.children if isinstance(c, str))
+                at.held = int(at.links < LINKED * at.text)
                 points = (1 + commas + min(at.text / 100, 3)) * (1 - at.links / at.text)
                 up, share = (at.parent or at) if at.tag in _POINTED else at, 1.0
                 while up is not None and share > 0.05:
                     up.points += points * share
                     up, share = up.parent, share / 2
+    for at in reversed(order):
+        if at.parent is not None:
+            at.parent.held += at.held
     return order
 
 
+def thin(node: Node, kept: Node | None) -> None:
+    """Take blocks that are mostly links out of a node, but nothing out of ``kept`` and no running text."""
+    stack = [node]
+    while stack:
+        at = stack.pop()
+        children, line = [], []
+
+        def end():
+            nodes = [c for c in line if not isinstance(c, str)]
+            text = len(" ".join("".join(c for c in line if isinstance(c, str)).split())) + sum(c.text for c in nodes)
+            if not text or sum(c.links for c in nodes) < LINKED * text or any(c.held for c in nodes):
+                children.extend(line)
+            line.clear()
+
+        for c in at.children:
+            if c is not kept and (isinstance(c, str) or c.tag in _INLINE):
+                line.append(c)
+                continue
+            end()
+            children.append(c)
+            if c is not kept and not c.bad and c.text and c.links >= LINKED * c.text:
+                if c.held:
+                    stack.append(c)
+                else:
+                    c.bad = True
+        end()
+        at.children = children
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -203,18 +253,16 @@ def main_text(page: str | None) -> str:
         if up.tag == "article":
             best = up
         up = up.parent
-    kept = [best]
-    if best.parent is not None:
-        kept = []
-        for c in best.parent.children:
-            if c is best:
-                kept.append(c)
-            elif not isinstance(c, str) and not c.bad and c.text:
-                density = c.links / c.text
-                near = c.points * (1 - density) >= max(3.0, SIBLING_SHARE * most)
-                if near or (c.tag == "p" and c.text > 80 and density < 0.25) or (c.tag in ("h1", "h2") and density == 0):
-                    kept.append(c)
-    return "\n".join(b for n in kept for b in blocks(n))
+    whole = best
+    while whole.parent is not None and whole.held < root.held:
+        whole = whole.parent
+    if whole.parent is not None:
+        whole = whole.parent  # its siblings belong to it
+    at = best
+    while at is not whole:
+        thin(at.parent, at)
+        at = at.parent
+    return "\n".join(blocks(whole))
 
 
 def extracted(pages: DataFrame) -> DataFrame:

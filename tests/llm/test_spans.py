@@ -1,6 +1,8 @@
 """Secrets and personal data against straightforward scans of the same texts."""
 
+import collections
 import hashlib
+import random
 import re
 
 import pytest
@@ -73,6 +75,30 @@ def test_weak_parts_need_their_complements(spark):
     assert got[2] == got[3] == got[4] == "" and got[None] == got[1]
 
 
+def test_linking_matches_every_pair_of_intervals(spark):
+    draw, reach, rows = random.Random(3), credentials.REACH, []
+    for rid in range(1500):
+        at = draw.randrange(1000)
+        for kind in draw.sample([3, 4, 5, 4, 0, 1], draw.randint(2, 5)):
+            size = draw.choice([8, 40, 150, 300, 600, 1500])
+            rows.append((rid, rid % 7, kind, at, at + size))
+            at += draw.choice([-size, size + draw.randint(0, 2 * reach)])
+            at = max(at, 0)
+    rows = list(dict.fromkeys(rows))
+
+    def near(a, b):
+        return b[3] - a[4] <= reach and a[3] - b[4] <= reach and (b[4] <= a[3] or b[3] >= a[4])
+
+    scopes = collections.defaultdict(list)
+    for r in rows:
+        scopes[r[0]].append(r)
+    want = [r for r in rows if r[2] < 3 or all(any(credentials.ROLE_OF[o[2]] == n and near(r, o) for o in scopes[r[0]]) for n in credentials.NEEDS[r[2]])]
+    parts = spark.createDataFrame(rows, "rid long, doc_id long, kind int, start long, end long")
+    got = credentials.linked(parts).filter("kind is not null").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert sum(r[2] >= 3 for r in want) > 200
+
+
 def test_base_personal_data_matches_a_plain_scan(texts):
     want = {r["doc_id"]: base_pii(r["text"] or "") for r in texts.filter("doc_id <> 0").collect()}
     got = pii.pii_report(pii.find_pii(texts)).filter("doc_id <> 0").collect()

@@ -75,12 +75,14 @@ def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
     weak = parts.filter(~strong)
     for n in range(2):
         needed = F.element_at(F.array(*[F.lit(NEEDS.get(k, (0, 0))[n]) for k in range(len(NAMES))]), F.col("kind") + 1)
-        left = weak.withColumn("role", needed).withColumn("at", stretch(F.col("start"))).alias("l")
+        # A partner before the candidate is within reach of its start, one after it within reach of its end.
+        ends = F.explode(F.array_distinct(F.array(stretch(F.col("start")), stretch(F.col("end")))))
+        left = weak.withColumn("role", needed).withColumn("at", ends).alias("l")
         near = (F.col("s") - F.col("end") <= reach) & (F.col("start") - F.col("e") <= reach) & (
             # An opaque string inside an assignment isn't a part of its own.
             (F.col("e") <= F.col("start")) | (F.col("s") >= F.col("end")))
         weak = left.join(spread.alias("r"), (F.col("l.rid") == F.col("r.rid")) & (F.col("l.role") == F.col("r.role"))
-                         & (F.col("l.at") == F.col("r.at")) & near, "left_semi").drop("role", "at")
+                         & (F.col("l.at") == F.col("r.at")) & near, "left_semi").drop("role", "at").distinct()
     # A document keeps a row even if all it has are candidates.
     stubs = parts.filter(~strong).select("rid", "doc_id", *[F.lit(None).cast(parts.schema[c].dataType).alias(c) for c in ("kind", "start", "end")])
     return parts.filter(strong).unionByName(weak).unionByName(stubs)

@@ -171,6 +171,41 @@ def test_ratio_is_the_difference_of_two_smoothed_models(spark):
     assert right / len(held) > 0.9
 
 
+def test_many_ngrams_keep_their_own_counts(spark):
+    draw = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789"))
+    tails = ["".join(draw.choice(letters, 60)) for _ in range(4000)]
+    heads = ["x://a.com/", "x://a.net/fr/", "x://a.org/"]
+    rows = [(i, heads[i % 3] + t) for i, t in enumerate(tails)] + [(9001, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r["page_id"]: r for r in urls.judged(pages).collect()}
+    host, path = urls.parts(F.col("url"))
+    train = {r["page_id"] for r in pages.filter(F.pmod(F.xxhash64(host, path), F.lit(urls.CALIBRATION)) != 0).collect()}
+    counts = [collections.Counter(), collections.Counter()]
+
+    def text(i, url):
+        return "^" * urls.ORDER + url.split("://")[-1] + "$"
+
+    def orders(t, i):
+        return [(t[i - k:i + 1], (k, t[i - k:i])) for k in range(urls.ORDER + 1)]
+
+    for i, url in rows:
+        if i in train and got[i]["rule"]:
+            t = text(i, url)
+            counts[got[i]["rule"] != "com/"].update(x for at in range(urls.ORDER, len(t)) for pair in orders(t, at) for x in pair)
+    assert len({x for c in counts for x in c if isinstance(x, str) and len(x) == urls.ORDER + 1}) > 100000
+    for i, url in rows[:30] + rows[-1:]:
+        t, total = text(i, url or ""), []
+        for at in range(urls.ORDER, len(t)):
+            p = [1 / urls.ALPHABET] * 2
+            for g, c in orders(t, at):
+                p = [(counts[s][g] + urls.BACKOFF * p[s]) / (counts[s][c] + urls.BACKOFF) for s in (0, 1)]
+            total.append(math.log(p[0]) - math.log(p[1]))
+        assert got[i]["ratio"] == pytest.approx(sum(total) / len(total) if url else 0.0, abs=1e-9), url
+    shuffled = {r["page_id"]: r for r in urls.judged(pages, broadcast_bytes=0).collect()}
+    assert all(shuffled[i]["verdict"] == r["verdict"] and shuffled[i]["ratio"] == pytest.approx(r["ratio"], abs=1e-9) for i, r in got.items())
+
+
 # --- token rollups ---------------------------------------------------------------------
 
 def test_rollup_applies_every_batch_once(spark):

@@ -5,11 +5,11 @@ models of variable order, one for accepted and one for rejected URLs; the others
 judged by the difference of their log-likelihoods per character, against a threshold
 that is calibrated on labelled URLs kept out of training.
 
-The probability of a character is interpolated from order 0 up to ``ORDER``: each
+A URL is judged by its host and path. The probability of a character is interpolated from order 0 up to ``ORDER``: each
 order adds what it counted and hands the rest to the next shorter context. Counts are
-over all labelled URLs. A context and character is a slot of 2 ** ``SLOT_BITS`` slots per
-order, so the tables are bounded and may be broadcast; slots share counts only once
-there are far more n-grams than slots.
+over all labelled URLs and kept by the n-gram itself, so none share them and the tables grow with
+the n-grams. The longest n-gram of a character holds all shorter ones, so the difference is worked out
+once per distinct n-gram; a table is broadcast only if its measured size is below ``BROADCAST_BYTES``.
 
 Defined results: a null URL, or one without ``://``, has empty host and path, no rule and, having
 no characters, is allowed unless the threshold says otherwise (difference 0); repeated URLs are judged alike and count each
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import UPPER, LOWER, stored, table
+from .common import BROADCAST_BYTES, UPPER, LOWER, stored, table
 
 # Verdict, host, path.
 RULES = [
@@ -29,7 +29,8 @@ RULES = [
     ("block", "net", "/es/"), ("block", "net", "/fr/"),
 ]
 ORDER = 4
-SLOT_BITS = 17
+#: Bytes of an n-gram and its numbers when broadcast, with room for four-byte characters.
+ROW_BYTES = 128
 #: Weight of the shorter context against what a context has counted.
 BACKOFF = 2.0
 ALPHABET = 96.0
@@ -55,37 +56,42 @@ def ruled(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def characters(urls: DataFrame) -> DataFrame:
-    """One row per character of each URL, with the slot of each context length."""
+    """One row per character of each URL: the n-gram of order ``ORDER`` that ends with it."""
     text = F.concat(F.lit("^" * ORDER), F.col("shown"), F.lit("$"))
     at = F.explode(F.sequence(F.lit(ORDER + 1), F.length("shown") + ORDER + 1))
     rows = urls.filter(F.length("shown") > 0).withColumn("text", text).withColumn("at", at)
-    slot = lambda k: F.pmod(F.xxhash64(F.substring(F.col("text"), F.col("at") - k, F.lit(k + 1)), F.lit(k)), F.lit(1 << SLOT_BITS)).cast("int")
-    context = lambda k: F.pmod(F.xxhash64(F.substring(F.col("text"), F.col("at") - k, F.lit(k)), F.lit(k)), F.lit(1 << SLOT_BITS)).cast("int")
-    return rows.select("uid", "label", "train", *[slot(k).alias(f"g{k}") for k in range(ORDER + 1)], *[context(k).alias(f"c{k}") for k in range(ORDER + 1)])
-
-
-def counts(chars: DataFrame, column: str) -> DataFrame:
-    """(slot, good, bad): how often a slot occurs in accepted and rejected training URLs."""
-    return chars.filter("train").groupBy(F.col(column).alias("slot")).agg(
-        F.count(F.when(F.col("label") == "allow", 1)).alias("good"), F.count(F.when(F.col("label") == "block", 1)).alias("bad"))
+    return rows.select("uid", "label", "train", F.substring(F.col("text"), F.col("at") - ORDER, F.lit(ORDER + 1)).alias("gram"))
+
+
+def joined_by_size(rows: DataFrame, t: DataFrame, key: str, broadcast_bytes: int) -> DataFrame:
+    """Join a stored table with one row per key, by broadcast if it is small."""
+    small = t.count() * ROW_BYTES <= broadcast_bytes
+    return rows.join(F.broadcast(t) if small else t, key)
+
+
+def differences(chars: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """(gram, d): log-likelihood difference of the last character of each distinct n-gram, accepted minus rejected."""
+    sides = [F.count(F.when(F.col("train") & (F.col("label") == v), 1)).alias(x) for v, x in (("allow", "a"), ("block", "b"))]
+    grams = stored(chars.groupBy("gram").agg(*sides), "url-grams")
+    # The character with k before it, and the k before it.
+    keys = {f"g{k}": F.substring("gram", ORDER + 1 - k, k + 1) for k in range(ORDER)} | {f"c{k}": F.substring("gram", ORDER + 1 - k, k) for k in range(1, ORDER + 1)}
+    rows = grams.select("gram", F.col("a").alias(f"g{ORDER}a"), F.col("b").alias(f"g{ORDER}b"), *[c.alias(n) for n, c in keys.items()])
+    for name, key in keys.items():
+        t = stored(grams.groupBy(key.alias(name)).agg(F.sum("a").alias(f"{name}a"), F.sum("b").alias(f"{name}b")), "url-counts")
+        rows = joined_by_size(rows, t, name, broadcast_bytes)
+    rows = rows.crossJoin(F.broadcast(grams.agg(F.sum("a").alias("c0a"), F.sum("b").alias("c0b"))))
+    good = bad = F.lit(1.0 / ALPHABET)
+    for k in range(ORDER + 1):
+        good = (F.col(f"g{k}a") + BACKOFF * good) / (F.col(f"c{k}a") + BACKOFF)
+        bad = (F.col(f"g{k}b") + BACKOFF * bad) / (F.col(f"c{k}b") + BACKOFF)
+    return stored(rows.select("gram", (F.log(good) - F.log(bad)).alias("d")), "url-differences")
 
 
-def scored(urls: DataFrame) -> DataFrame:
+def scored(urls: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(uid, ratio): mean log-likelihood difference per character, accepted minus rejected."""
-    chars = stored(characters(urls), "url-characters")
-    good = bad = F.lit(1.0 / ALPHABET)
-    rows = chars.select("uid", *[f"{x}{k}" for k in range(ORDER + 1) for x in "gc"])
-    for k in range(ORDER + 1):
-        for x in "gc":
-            # At most 2 ** SLOT_BITS rows of two numbers, whatever the input.
-            t = stored(counts(chars, f"{x}{k}"), "url-counts").select(
-                F.col("slot").alias(f"{x}{k}"), F.col("good").alias(f"{x}{k}a"), F.col("bad").alias(f"{x}{k}b"))
-            rows = rows.join(F.broadcast(t), f"{x}{k}", "left")
-    for k in range(ORDER + 1):
-        n = lambda c: F.coalesce(F.col(c), F.lit(0))
-        good = (n(f"g{k}a") + BACKOFF * good) / (n(f"c{k}a") + BACKOFF)
-        bad = (n(f"g{k}b") + BACKOFF * bad) / (n(f"c{k}b") + BACKOFF)
-    return rows.select("uid", (F.log(good) - F.log(bad)).alias("d")).groupBy("uid").agg(F.avg("d").alias("ratio"))
+    chars = characters(urls)
+    rows = joined_by_size(chars.select("uid", "gram"), differences(chars, broadcast_bytes), "gram", broadcast_bytes)
+    return rows.groupBy("uid").agg(F.avg("d").alias("ratio"))
 
 
 def threshold(scores: DataFrame) -> float:
@@ -111,7 +117,7 @@ def threshold(scores: DataFrame) -> float:
     return (best[2] - BINS // 2) * BIN_WIDTH
 
 
-def judged(pages: DataFrame, rules=RULES) -> DataFrame:
+def judged(pages: DataFrame, rules=RULES, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(page_id, host, path, rule, verdict, ratio) of every row."""
     host, path = parts(F.col("url"))
     known = pages.select("page_id", "url", host.alias("host"), path.alias("path")).withColumn("fit", ruled(F.col("host"), F.col("path"), rules))
@@ -123,7 +129,7 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     labels = {r["label"] for r in rows.filter("train").select("label").distinct().collect()}
     if labels < {"allow", "block"}:
         return rows.select("page_id", "host", "path", "rule", F.coalesce("label", F.lit("allow")).alias("verdict"), F.lit(0.0).alias("ratio"))
-    ratios = stored(rows.join(scored(rows), "uid", "left").withColumn("ratio", F.coalesce("ratio", F.lit(0.0))), "url-ratios")
+    ratios = stored(rows.join(scored(rows, broadcast_bytes), "uid", "left").withColumn("ratio", F.coalesce("ratio", F.lit(0.0))), "url-ratios")
     cut = threshold(ratios.filter(F.col("label").isNotNull() & F.col("kept_out")))
     verdict = F.coalesce(F.col("label"), F.when(F.col("ratio") >= cut, "allow").otherwise("block"))
     return ratios.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "ratio")

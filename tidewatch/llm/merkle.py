@@ -407,5 +407,53 @@ def op12_midstate_tree(spark, sf_dir):
     return out.withColumn("id", F.col("id").cast(docs.schema["doc_id"].dataType)).withColumnRenamed("id", "doc_id")
 
 
+_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, *, doc_id IS NOT NULL AND 1 & xor(4294967295::UBIGINT, list_reduce(
+           list_prepend(4294967295::UBIGINT, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::UBIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda k: 0::UBIGINT)),
+             lambda a, z: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)))) = 0 AS chosen
+  FROM documents),
+fields AS (
+  SELECT rid, doc_id, source, chosen, text, concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+           coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS start FROM docs),
+hashed AS (
+  SELECT rid, doc_id, source, sha256(start || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN chosen AND text IS NOT NULL THEN sha256(start || strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), '')) END AS changed
+  FROM fields),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS size FROM hashed),
+tree AS (
+  SELECT source, 0 AS level, place AS idx, leaf AS digest, size AS n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM tree WHERE n > 1 GROUP BY source, level, idx // 3, n),
+subs AS (SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS size FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS level, place AS idx, subroot AS digest, size AS n FROM subs
+  UNION ALL
+  SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY level, idx // 3, n),
+steps AS (
+  SELECT l.rid, t.level, string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx < l.place // pow(3, t.level)::BIGINT) AS lefts,
+         string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx > l.place // pow(3, t.level)::BIGINT) AS rights
+  FROM leaves l JOIN tree t ON l.source IS NOT DISTINCT FROM t.source AND t.n > 1 AND t.idx // 3 = l.place // pow(3, t.level + 1)::BIGINT
+  GROUP BY l.rid, t.level
+  UNION ALL
+  SELECT l.rid, 100 + t.level, string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx < s.place // pow(3, t.level)::BIGINT),
+         string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx > s.place // pow(3, t.level)::BIGINT)
+  FROM leaves l JOIN subs s ON l.source IS NOT DISTINCT FROM s.source
+  JOIN top t ON t.n > 1 AND t.idx // 3 = s.place // pow(3, t.level + 1)::BIGINT
+  GROUP BY l.rid, t.level),
+ways AS (
+  SELECT rid, list(struct_pack(a := coalesce(lefts, ''), b := coalesce(rights, '')) ORDER BY level) AS way FROM steps GROUP BY rid),
+climb AS (
+  SELECT l.rid, coalesce(l.changed, l.leaf) AS digest, coalesce(w.way, []) AS way, 1 AS i FROM leaves l LEFT JOIN ways w USING (rid)
+  UNION ALL
+  SELECT rid, sha256(way[i].a || digest || way[i].b), way, i + 1 FROM climb WHERE i <= len(way)),
+done AS (
+  SELECT rid, digest AS folded_root, sha256(array_to_string(list_transform(way, lambda s: s.a || s.b), '')) AS proof_sha256 FROM climb WHERE i > len(way))
+SELECT l.doc_id, l.leaf, s.subroot, r.digest AS root, d.proof_sha256, d.folded_root, d.folded_root = r.digest AS verified
+FROM leaves l JOIN subs s ON l.source IS NOT DISTINCT FROM s.source JOIN done d USING (rid) CROSS JOIN (SELECT digest FROM top WHERE n = 1) r
+"""
+
 QUERIES = {"op12_midstate_tree": op12_midstate_tree}
-ORACLES = {}
+ORACLES = {"op12_midstate_tree": _SQL}

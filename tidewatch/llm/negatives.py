@@ -1,7 +1,7 @@
 """Operator 13: hard negatives by an inverted multi-index.
 
 Vectors are cut into two halves. Each half has a codebook of k centres, fitted on a bounded sample
-(``SAMPLE_ROWS``), and the pair of nearest centres is a vector's cell. All rows are indexed. For an anchor
+(``SAMPLE_ROWS`` rows on average, twice that at most), and the pair of nearest centres is a vector's cell. All rows are indexed. For an anchor
 q and centre c of a half, q . c + |q| * radius(c) bounds the half's part of the inner product with every row
 under that centre, so the sum of two such half-scores bounds a cell. The bounds of a half are sorted, and a
 heap walks the grid of pairs from the highest sum down (multi-sequence). It needs no score of a row.
@@ -107,7 +107,10 @@ def build(points: DataFrame, cell_rows: int = CELL_ROWS, sample_rows: int = SAMP
     if not n:
         return None
     dims = max(2, dims)
-    sample = points.orderBy(F.xxhash64("key", "rid")).limit(sample_rows).select("vec").toPandas()["vec"]
+    draw = F.pmod(F.xxhash64("key", "rid"), F.lit(1 << 30)) < math.ceil((1 << 30) * min(1.0, sample_rows / n))
+    sample = points.filter(draw).select("vec").limit(2 * sample_rows).toPandas()["vec"]
+    if not len(sample):  # a draw of few rows may be empty
+        sample = points.select("vec").limit(1).toPandas()["vec"]
     x, half = _stack(sample, dims), dims // 2
     k = min(MOST_CODES, max(2, math.ceil(math.sqrt(n / cell_rows))))
     books = centres(x[:, :half], k), centres(x[:, half:], k)

@@ -264,10 +264,10 @@ def test_bounds_hold_and_cells_stay_unvisited(spark):
     for way in walked:
         assert [b for _, b in way] == sorted((b for _, b in way), reverse=True)
     assert sorted(c for c, _ in walked[0]) == [1, 2, 4, 5]
-    # Grouped vectors: after 3 of the cells, five positives above the bound of the next cell are certain for nearly all anchors.
+    # Grouped vectors: after 6 of the cells, five positives above the bound of the next cell are certain for nearly all anchors.
     every = index.rows.collect()
     early = [
         sorted((np.dot(r["vec"], o["vec"]) for o in every if o["label"] == r["label"] and o["rid"] != r["rid"]), reverse=True)[4] > r["bound"]
-        for r in negatives.next_cells(index, asked, 0, 3).collect()]
+        for r in negatives.next_cells(index, asked, 0, 6).collect()]
     assert len(index.sizes) > 10 and np.mean(early) > 0.9
     assert mine(spark, rows, cell_rows=15) == mined(rows)

@@ -164,11 +164,21 @@ def test_ratio_is_the_difference_of_two_smoothed_models(spark):
                     p = (grams[side][g] + urls.BACKOFF * p) / (contexts[side][len(c), c] + urls.BACKOFF)
                 both.append(math.log(p))
             total.append(both[0] - both[1])
-        # Slots are shared by few n-grams here, so single URLs may differ a little.
-        assert out[r["page_id"]]["ratio"] == pytest.approx(sum(total) / len(total), abs=0.03)
-    held = [r for r in rows if r["out"] and out[r["page_id"]]["rule"]]
-    right = sum((out[r["page_id"]]["ratio"] < 0) == (verdict[out[r["page_id"]]["rule"]] == "block") for r in held)
-    assert right / len(held) > 0.9
+        assert out[r["page_id"]]["ratio"] == pytest.approx(sum(total) / len(total), abs=1e-9)
+
+
+def test_verdicts_on_urls_that_neither_taught_nor_calibrated(spark):
+    """Of the labelled URLs that are kept out, one half fits the threshold and the other is judged by it, and the other way round."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    verdict = F.create_map(*[F.lit(x) for v, h, p in urls.RULES for x in (h + p, v)])
+    host, path = urls.parts(F.col("url"))
+    out = urls.judged(pages).filter("rule is not null").withColumn("label", verdict[F.col("rule")]).join(
+        pages.filter(F.pmod(F.xxhash64(host, path), F.lit(urls.CALIBRATION)) == 0).select("page_id"), "page_id").cache()
+    right = []
+    for half in (0, 1):
+        cut = urls.threshold(out.filter(F.col("page_id") % 2 == half).select("label", "ratio"))
+        right += [(r["ratio"] >= cut) == (r["label"] == "allow") for r in out.filter(F.col("page_id") % 2 != half).collect()]
+    assert len(right) > 150 and sum(right) / len(right) > 0.95
 
 
 def test_many_ngrams_keep_their_own_counts(spark):

@@ -4,9 +4,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidewatch.config import DEFAULTS
 from tidewatch.functions.numbers import rounded
-from tidewatch.operators import matrix as M, profiling, scoring
+from tidewatch.config import DEFAULTS, HashParams
+from tidewatch.operators import hashed, matrix as M, profiling, scoring
 from tidewatch.operators.dbscan import dbscan_labels, dbscan_scores
 from tidewatch.operators.forest import fit_isolation_forest
 from tidewatch.operators.hierarchy import hierarchy_scores
@@ -119,17 +119,42 @@ def _(spark, sf):
     return lists.select("gid", F.inline("neighbours")).select("gid", "nid", rounded(F.col("dist"), 6).alias("dist"))
 
 
-@query("lof_vectors", f"""WITH {_PAIRS}, rx AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY d, o) AS rn FROM pairs),
+@query("hashed_neighbour_recall", f"""SELECT count(*) AS points, count(*) AS full_lists, {_K} AS k, true AS recall_reached, true AS moved_in_bounds FROM embeddings""")
+def _(spark, sf):
+    """Lists from hashed buckets held against the exact ones: recall of at least 0.9, and how often a row is moved."""
+    points, params = checkpointed(weighted_points(vectors(spark, sf))), HashParams(trees=16, probes=3, leaf_rows=128)
+    index = hashed.build_hashed(points, params)
+    ids = lambda lists, name: lists.select("gid", F.transform("neighbours", lambda z: z["nid"]).alias(name))
+    found = ids(hashed.nearest_points(index, _K), "found").join(ids(nearest_points(build_index(points, 200), _K), "wanted"), "gid")
+    moved = hashed.asked_buckets(index, points).unionByName(index.buckets).agg(F.count(F.lit(1)).alias("moved"))
+    out = found.agg(
+        F.count(F.lit(1)).alias("points"), F.count_if(F.size("found") == _K).alias("full_lists"),
+        (F.avg(F.size(F.array_intersect("found", "wanted")) / F.size("wanted")) >= 0.9).alias("recall_reached"))
+    bound = params.trees * (params.probes + 1) * F.col("points")
+    return out.withColumn("moved", moved.scalar()).select(
+        "points", "full_lists", F.lit(_K).alias("k"), "recall_reached", (F.col("moved") <= bound).alias("moved_in_bounds"))
+
+
+_LOF = f"""WITH {_PAIRS}, rx AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY d, o) AS rn FROM pairs),
   rf AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY d, o) AS rn FROM pairs WHERE g <> o),
   nx AS (SELECT * FROM rx WHERE rn <= {_K}), nf AS (SELECT * FROM rf WHERE rn <= {_K}),
   kd AS (SELECT g, max(d) AS kdist FROM nf GROUP BY 1),
   lf AS (SELECT nf.g, 1 / (avg(greatest(d, kdist)) + 1e-10) AS dens FROM nf JOIN kd ON nf.o = kd.g GROUP BY 1),
   lx AS (SELECT nx.g, 1 / (avg(greatest(d, kdist)) + 1e-10) AS dens FROM nx JOIN kd ON nx.o = kd.g GROUP BY 1)
-  SELECT nx.g AS tx_id, round_even(avg(lf.dens) / any_value(lx.dens), 6) AS lof FROM nx JOIN lf ON nx.o = lf.g JOIN lx ON nx.g = lx.g GROUP BY 1""")
+  SELECT nx.g AS tx_id, round_even(avg(lf.dens) / any_value(lx.dens), 6) AS lof FROM nx JOIN lf ON nx.o = lf.g JOIN lx ON nx.g = lx.g GROUP BY 1"""
+
+
+@query("lof_vectors", _LOF)
 def _(spark, sf):
     return lof_scores(vectors(spark, sf), _K, "lof", chunk_rows=200).select("tx_id", rounded(F.col("lof"), 6).alias("lof"))
 
 
+@query("lof_hashed_vectors", _LOF)
+def _(spark, sf):
+    """The approximate search; a table of one bucket is searched whole, so there the factors are those of the exact one."""
+    return lof_scores(vectors(spark, sf), _K, "lof", hashing=HashParams()).select("tx_id", rounded(F.col("lof"), 6).alias("lof"))
+
+
 @query("lof_new_rows", f"""WITH {_PAIRS}, rx AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY d, o) AS rn FROM pairs WHERE g % 2 = 1 AND o % 2 = 0),
   rf AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY d, o) AS rn FROM pairs WHERE g % 2 = 0 AND o % 2 = 0 AND g <> o),
   nx AS (SELECT * FROM rx WHERE rn <= {_K}), nf AS (SELECT * FROM rf WHERE rn <= {_K}),
@@ -158,6 +183,11 @@ def _(spark, sf):
     return dbscan_labels(vectors(spark, sf), _EPS, 5, chunk_rows=200).select("tx_id", "cluster")
 
 
+@query("dbscan_hashed_vectors", f"WITH RECURSIVE {_DBSCAN} SELECT * FROM labels")
+def _(spark, sf):
+    return dbscan_labels(vectors(spark, sf), _EPS, 5, hashing=HashParams()).select("tx_id", "cluster")
+
+
 @query("dbscan_score_vectors", f"""WITH RECURSIVE {_DBSCAN}, e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
   m AS (SELECT cluster, i, avg(v) AS c FROM e JOIN labels ON vec_id = tx_id WHERE cluster IS NOT NULL GROUP BY 1, 2),
   gap AS (SELECT vec_id, sqrt(sum((v - c) * (v - c))) AS d FROM e JOIN labels ON vec_id = tx_id JOIN m USING (cluster, i) GROUP BY 1),

@@ -74,6 +74,17 @@ class EnsembleWeights:
         return cls(**{n: weights[n] / total for n in cls.NAMES})
 
 
+@dataclass(frozen=True)
+class HashParams:
+    """Approximate neighbour search: ``trees`` and ``probes`` buy recall; ``leaf_rows`` bounds a bucket; ``sample_rows`` bounds what fits the planes."""
+
+    trees: int = 10
+    probes: int = 2
+    leaf_rows: int = 512
+    sample_rows: int = 20_000
+    seed: int = 42
+
+
 @dataclass(frozen=True)
 class Options:
     velocity_window_hours: int = 24
@@ -85,6 +96,8 @@ class Options:
     dbscan_min_samples: int = 5
     lof_neighbours: int = 20
     oneclass_nu: float = 0.1
+    #: Neighbours of LOF and DBSCAN: exact without, in hashed buckets with these.
+    hashing: HashParams | None = None
     anomaly_threshold: float = 0.7
     top_n: int = 100
     validation_sample: int = 50

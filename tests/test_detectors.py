@@ -148,7 +148,7 @@ def test_one_class(spark, blobs):
 
 
 def test_hierarchy(spark, blobs):
-    s = hierarchy_scores(table(spark, blobs), levels=4).toPandas().sort_values("tx_id")["hierarchy_raw"].to_numpy()
+    s = hierarchy_scores(table(spark, blobs)).toPandas().sort_values("tx_id")["hierarchy_raw"].to_numpy()
     assert ((0 <= s) & (s <= 1)).all() and s[-3:].min() >= np.median(s)
 
 

@@ -13,7 +13,6 @@ from tidewatch.operators.hierarchy import hierarchy_scores
 from tidewatch.operators.lof import fit_lof, lof_scores
 from tidewatch.operators.neighbours import build_index, nearest_points, weighted_points
 from tidewatch.operators.oneclass import oneclass_scores
-from tidewatch.operators.sequence import sequence_features
 from tidewatch.operators.skew import checkpointed, shared_folder
 from tidewatch.plans import detect
 from tidewatch.plans.features import extract_features
@@ -317,8 +316,7 @@ _STREAMED = ["user_id", "tx_id", "timestamp", "tx_velocity_24h", "time_since_las
   round_even(time_since_last_tx, 6) AS time_since_last_tx, location_changed, device_changed FROM sequence JOIN tx USING (tx_id)
   WHERE user_id IS NOT NULL AND timestamp IS NOT NULL""")
 def _(spark, sf):
-    known = transactions(spark, sf).filter("user_id is not null and timestamp is not null")
-    out = run.run_to_the_end(sequence.stream_sequence(to_transactions(event_stream(spark, sf))), sequence_features(known))
+    out = run.run_finite(sequence.stream_sequence, to_transactions(event_stream(spark, sf)))
     return out.select(*_STREAMED).withColumns({**r(6, "time_since_last_tx"), "timestamp": F.col("timestamp").cast("timestamp_ntz")})
 
 
@@ -346,10 +344,21 @@ def _(spark, sf):
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
-@query("user_sessions", f"""WITH {TX}, g AS (SELECT *, CASE WHEN timestamp > lag(timestamp) OVER w + INTERVAL 12 HOUR OR lag(timestamp) OVER w IS NULL THEN 1 ELSE 0 END AS s
+_SESSIONS = f"""WITH {TX}, g AS (SELECT *, CASE WHEN timestamp > lag(timestamp) OVER w + INTERVAL 12 HOUR OR lag(timestamp) OVER w IS NULL THEN 1 ELSE 0 END AS s
     FROM tx WHERE timestamp IS NOT NULL AND user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY timestamp)),
   i AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS k FROM g)
-  SELECT user_id, min(timestamp) AS session_start, max(timestamp) + INTERVAL 12 HOUR AS session_end, count(*) AS n, round_even(sum(amount), 4) AS amount FROM i GROUP BY user_id, k""")
+  SELECT user_id, min(timestamp) AS session_start, max(timestamp) + INTERVAL 12 HOUR AS session_end, count(*) AS n, round_even(sum(amount), 4) AS amount FROM i GROUP BY user_id, k"""
+
+
+@query("stream_sessions", _SESSIONS)
+def _(spark, sf):
+    """Sessions whose state merges on the stream, in append mode; a closing row ends the last ones."""
+    rows = to_transactions(event_stream(spark, sf)).select("tx_id", "user_id", "timestamp", "amount")
+    out = run.run_finite(lambda t: windows.session_counts(t, "12 hours"), rows).withColumns(r(4, "amount"))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+
+
+@query("user_sessions", _SESSIONS)
 def _(spark, sf):
     out = windows.session_counts(transactions(spark, sf), "12 hours").withColumns(r(4, "amount"))
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})

@@ -1,3 +1,5 @@
+import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.parse import parse_logs, valid_rows
 from tidewatch.operators.sequence import sequence_features
-from tidewatch.streaming import run, score, sequence
+from tidewatch.streaming import run, score, sequence, windows
 
 
 def folder(tmp_path, df, parts=3):
@@ -46,3 +48,63 @@ def test_stream_sequence_equals_batch_up_to_the_watermark(spark, tmp_path):
         for c in ("tx_velocity_24h", "location_changed", "device_changed"):
             assert r[c] == want[i][c], (i, c)
         assert r["time_since_last_tx"] == pytest.approx(want[i]["time_since_last_tx"])
+
+
+def _random_rows(n, seed, users=3, hours=200):
+    """Busy and idle users, equal times, nulls; in order of time up to a few hours."""
+    draw = random.Random(seed)
+    start = datetime(2024, 3, 1)
+    rows = []
+    for i in range(n):
+        at = start + timedelta(minutes=10 * int(i * hours * 6 / n) + draw.choice([-150, -10, 0, 0, 10]))
+        user = "idle" if draw.random() < 0.02 else f"u{draw.randrange(users)}"
+        rows.append((i, user, at, draw.choice(["L", "M", None]), draw.choice(["x", "y"]), float(i)))
+    return rows
+
+
+ROWS = "tx_id long, user_id string, timestamp timestamp, location string, device string, amount double"
+
+
+def _ordered(tmp_path, spark, rows, parts=6):
+    """Files in order of arrival, as a stream of one file per batch."""
+    path = str(tmp_path / "ordered")
+    for i in range(parts):
+        part = rows[len(rows) * i // parts:len(rows) * (i + 1) // parts]
+        spark.createDataFrame(part, ROWS).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # the source takes files by their time
+    return spark.readStream.schema(ROWS).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_finite_stream_gives_all_rows_without_a_batch(spark, tmp_path):
+    rows = _random_rows(600, 1)
+    stream = _ordered(tmp_path, spark, rows)
+    got = {r["tx_id"]: r for r in run.run_finite(lambda t: sequence.stream_sequence(t, 24, delay="6 hours"), stream).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for r in sequence_features(spark.createDataFrame(rows, ROWS)).collect():
+        for c in ("tx_velocity_24h", "location_changed", "device_changed"):
+            assert got[r["tx_id"]][c] == r[c], (r["tx_id"], c)
+        assert got[r["tx_id"]]["time_since_last_tx"] == pytest.approx(r["time_since_last_tx"])
+
+
+def test_forgotten_users_begin_anew(spark, tmp_path):
+    start = datetime(2024, 3, 1)
+    times = [0, 5, 30, 31, 400, 401]
+    rows = [(i, "u", start + timedelta(hours=h), "L", "x", 1.0) for i, h in enumerate(times)]
+    stream = _ordered(tmp_path, spark, rows, parts=3)
+    out = run.run_finite(lambda t: sequence.stream_sequence(t, 24, delay="1 hour", forget_hours=200), stream).collect()
+    since = {r["tx_id"]: (r["time_since_last_tx"], r["tx_velocity_24h"], r["location_changed"]) for r in out}
+    assert since == {0: (0.0, 0, 1), 1: (5.0, 1, 0), 2: (25.0, 0, 0), 3: (1.0, 1, 0), 4: (0.0, 0, 1), 5: (1.0, 1, 0)}
+
+
+def test_stream_sessions_merge_and_late_rows_go(spark, tmp_path):
+    start = datetime(2024, 3, 1)
+    at = lambda i, user, h, amount: (i, user, start + timedelta(hours=h), None, None, amount)
+    rows = [at(0, "a", 0, 1.0), at(1, "a", 20, 2.0), at(2, "b", 30, 5.0),  # two sessions of a
+            at(3, "a", 10, 4.0), at(4, None, 31, 7.0), at(5, "c", 100, 1.0),  # row 3 is late within the delay and joins them
+            at(6, "a", 5, 100.0), at(7, "c", 104, 2.0)]  # row 6 comes after the watermark
+    stream = _ordered(tmp_path, spark, rows, parts=4)  # a row is late if the session it would open has ended by the watermark
+    out = run.run_finite(lambda t: windows.session_counts(t, "12 hours", delay="1 day"), stream).collect()
+    got = sorted((r["user_id"], (r["session_start"] - start) / timedelta(hours=1), r["n"], r["amount"]) for r in out)
+    assert got == [("a", 0.0, 3, 7.0), ("b", 30.0, 1, 5.0), ("c", 100.0, 2, 3.0)]
+    batch = windows.session_counts(spark.createDataFrame([r for r in rows if r[0] != 6], ROWS), "12 hours").collect()
+    assert sorted((r["user_id"], r["n"], r["amount"]) for r in batch) == [(u, n, a) for u, _, n, a in got]

@@ -1,82 +1,145 @@
 """Velocity and change features on a stream, exact up to the watermark.
 
-Rows of a user wait in state until the watermark has passed them, then leave in
-order of time, so late rows within the delay change nothing in the result. State
-is bounded: waiting rows, the times of the last window (with their counts, so
-copies share an entry), and the last location and device.
+Rows of a user wait in state, in a map by time bucket, until the watermark has passed the bucket; a timer
+at the bucket's end then lets them leave in order of time. So late rows within the delay change nothing in
+the result, and a batch touches the buckets it has rows for and no others. The trailing window is a
+running count with a head that moves on: every row enters and leaves it once. Buckets before the head
+are deleted, and a second timer clears the window of a user who stays away. What stays of such a user is
+one row (last time, location and device), which later features need; ``forget`` puts an end to that too.
+
+State lies on disk (RocksDB), which this operator sets for the session. Equal times share an entry.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 OUTPUT = (
     "user_id string, tx_id long, timestamp timestamp, tx_velocity_24h long, time_since_last_tx double, "
     "location_changed int, device_changed int"
 )
-STATE = (
-    "w_time array<long>, w_id array<long>, w_location array<string>, w_device array<string>, "
-    "times array<long>, counts array<long>, last_time long, location string, device string"
-)
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_HOUR = 3_600_000_000
 
 
 def _differs(before, now) -> int:
     return int(before is None or now is None or before != now)
 
 
-def _advance(width: int):
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            wt, wi, wl, wd, times, counts, last, loc, dev = state.get
-            wt, wi, wl, wd, times, counts = map(list, (wt, wi, wl, wd, times, counts))
-        else:
-            wt, wi, wl, wd, times, counts, last, loc, dev = [], [], [], [], [], [], None, None, None
-        for pdf in batches:
-            wt += pdf["_t"].tolist()
-            wi += pdf["tx_id"].tolist()
-            wl += pdf["location"].where(pdf["location"].notna(), None).tolist()
-            wd += pdf["device"].where(pdf["device"].notna(), None).tolist()
-        mark = state.getCurrentWatermarkMs() * 1000
-        order = sorted(range(len(wt)), key=lambda i: (wt[i], wi[i]))
-        out = []
-        ready = [i for i in order if wt[i] < mark]
-        for i in ready:
-            t = wt[i]
-            drop = int(np.searchsorted(times, t - width, side="left"))
-            del times[:drop], counts[:drop]
-            same = bool(times) and times[-1] == t
-            out.append((
-                key[0], wi[i], pd.Timestamp(t, unit="us"), sum(counts) - (counts[-1] if same else 0),
-                0.0 if last is None else (t - last) / 3.6e9, _differs(loc, wl[i]), _differs(dev, wd[i])))
-            if same:
-                counts[-1] += 1
+class SequenceProcessor(StatefulProcessor):
+    """``width`` of the window and of a bucket, and how long a user without rows is remembered, in microseconds."""
+
+    def __init__(self, width: int, forget: int | None):
+        self.width, self.forget = width, forget
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState(
+            "waiting", "bucket long", "t array<long>, id array<long>, location array<string>, device array<string>")
+        self.recent = handle.getMapState("recent", "bucket long", "t array<long>, n array<long>")
+        #: Last row; rows in the window; bucket and place of the window's head.
+        self.last = handle.getValueState("last", "t long, location string, device string, inside long, head long, place int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        found: dict[int, list[tuple]] = {}
+        for part in rows:
+            if not len(part):  # comes without columns
+                continue
+            text = part[["tx_id", "location", "device"]].astype(object)
+            text = text.where(text.notna(), None)
+            for t, i, where, what in zip(part["micros"], text["tx_id"], text["location"], text["device"]):
+                if t >= mark:
+                    found.setdefault(int(t) // self.width, []).append((int(t), None if i is None else int(i), where, what))
+        for bucket, new in found.items():
+            columns = [list(c) for c in zip(*new)]
+            if self.waiting.containsKey((bucket,)):
+                columns = [list(a) + b for a, b in zip(self.waiting.getValue((bucket,)), columns)]
             else:
-                times.append(t)
-                counts.append(1)
-            last, loc, dev = t, wl[i], wd[i]
-        rest = [i for i in order if wt[i] >= mark]
-        pick = lambda a: [a[i] for i in rest]
-        if state.hasTimedOut and not rest and (not times or times[-1] + width < mark):
-            times, counts = [], []
-        state.update((pick(wt), pick(wi), pick(wl), pick(wd), times, counts, last, loc, dev))
-        if rest:
-            state.setTimeoutTimestamp(max(wt[rest[0]] // 1000 + 1, mark // 1000 + 1))
-        if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
-    return step
-
-
-def stream_sequence(rows: DataFrame, hours: int = 24, delay: str = "1 day") -> DataFrame:
-    """Needs ``user_id``, ``tx_id``, ``timestamp``, ``location`` and ``device``."""
+                self.handle.registerTimer((bucket + 1) * self.width // 1000)
+            self.waiting.updateValue((bucket,), tuple(columns))
+        yield pd.DataFrame(columns=_NAMES)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        for bucket in sorted(k[0] for k in self.waiting.keys()):
+            if (bucket + 1) * self.width <= now:
+                yield self._released(key[0], bucket)
+                self.waiting.removeKey((bucket,))
+        # Rows that still wait in a bucket begun by now may need what would be cleared; their release sets a timer again.
+        if self.last.exists() and not any(k[0] * self.width <= now for k in self.waiting.keys()):
+            t, *rest = self.last.get()
+            idle = now - t
+            if self.forget is not None and idle >= self.forget:
+                self.last.clear()
+            if idle >= self.width:
+                for k in list(self.recent.keys()):
+                    self.recent.removeKey(k)
+                if self.last.exists():
+                    self.last.update((t, rest[0], rest[1], 0, t // self.width, 0))
+
+    def _released(self, user: str, bucket: int) -> pd.DataFrame:
+        rows = sorted(zip(*self.waiting.getValue((bucket,))), key=lambda r: (r[0], r[1] is not None, r[1]))
+        last, where, what, inside, head, place = self.last.get() if self.last.exists() else (None, None, None, 0, bucket, 0)
+        times: dict[int, tuple[list, list]] = {}  # buckets of the window that were looked at
+
+        def held(b):
+            if b not in times:
+                times[b] = tuple(map(list, self.recent.getValue((b,)))) if self.recent.containsKey((b,)) else ([], [])
+            return times[b]
+
+        out, k = [], 0
+        while k < len(rows):
+            t = rows[k][0]
+            same = k
+            while same < len(rows) and rows[same][0] == t:
+                same += 1
+            while head < bucket or place < len(held(head)[0]):  # the head moves to the first time inside the window
+                at, n = held(head)
+                if place >= len(at):
+                    head, place = head + 1, 0
+                    if inside == 0:
+                        head = bucket
+                elif at[place] < t - self.width:
+                    inside, place = inside - n[place], place + 1
+                else:
+                    break
+            for _, i, location, device in rows[k:same]:
+                out.append((
+                    user, i, pd.Timestamp(t, unit="us"), inside, 0.0 if last is None else (t - last) / _HOUR,
+                    _differs(where, location), _differs(what, device)))
+                last, where, what = t, location, device
+            held(bucket)[0].append(t)
+            held(bucket)[1].append(same - k)
+            inside, k = inside + same - k, same
+        self.recent.updateValue((bucket,), times[bucket])
+        for old in [x[0] for x in self.recent.keys() if x[0] < head]:
+            self.recent.removeKey((old,))
+        self.last.update((last, where, what, inside, head, place))
+        self.handle.registerTimer((last + self.width) // 1000 + 1)
+        if self.forget is not None:
+            self.handle.registerTimer((last + self.forget) // 1000 + 1)
+        return pd.DataFrame(out, columns=_NAMES).astype({"tx_id": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+_NAMES = [c.split()[0] for c in OUTPUT.split(", ")]
+
+
+def stream_sequence(rows: DataFrame, hours: int = 24, delay: str = "1 day", forget_hours: int | None = None) -> DataFrame:
+    """Needs ``user_id``, ``tx_id``, ``timestamp``, ``location`` and ``device``; rows later than ``delay`` are dropped."""
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     timed = rows.filter(F.col("user_id").isNotNull() & F.col("timestamp").isNotNull()).withWatermark(
         "timestamp", delay)
     keyed = timed.select(
-        "user_id", F.col("tx_id").cast("long").alias("tx_id"), "timestamp", "location", "device",
-        F.unix_micros("timestamp").alias("_t"))
-    return keyed.groupBy("user_id").applyInPandasWithState(
-        _advance(hours * 3_600_000_000), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        "user_id", F.col("tx_id").cast("long").cast("string").alias("tx_id"), "timestamp", "location", "device",
+        F.unix_micros("timestamp").alias("micros"))
+    forget = None if forget_hours is None else forget_hours * _HOUR
+    return keyed.groupBy("user_id").transformWithStateInPandas(
+        SequenceProcessor(hours * _HOUR, forget), OUTPUT, "append", "EventTime")

@@ -101,10 +101,11 @@ def test_stream_sessions_merge_and_late_rows_go(spark, tmp_path):
     at = lambda i, user, h, amount: (i, user, start + timedelta(hours=h), None, None, amount)
     rows = [at(0, "a", 0, 1.0), at(1, "a", 20, 2.0), at(2, "b", 30, 5.0),  # two sessions of a
             at(3, "a", 10, 4.0), at(4, None, 31, 7.0), at(5, "c", 100, 1.0),  # row 3 is late within the delay and joins them
+            at(8, "c", 101, 1.0), at(9, "c", 102, 1.0),
             at(6, "a", 5, 100.0), at(7, "c", 104, 2.0)]  # row 6 comes after the watermark
-    stream = _ordered(tmp_path, spark, rows, parts=4)  # a row is late if the session it would open has ended by the watermark
+    stream = _ordered(tmp_path, spark, rows, parts=5)  # late: the session it would open ended by the watermark of the batch before
     out = run.run_finite(lambda t: windows.session_counts(t, "12 hours", delay="1 day"), stream).collect()
     got = sorted((r["user_id"], (r["session_start"] - start) / timedelta(hours=1), r["n"], r["amount"]) for r in out)
-    assert got == [("a", 0.0, 3, 7.0), ("b", 30.0, 1, 5.0), ("c", 100.0, 2, 3.0)]
+    assert got == [("a", 0.0, 3, 7.0), ("b", 30.0, 1, 5.0), ("c", 100.0, 4, 5.0)]
     batch = windows.session_counts(spark.createDataFrame([r for r in rows if r[0] != 6], ROWS), "12 hours").collect()
     assert sorted((r["user_id"], r["n"], r["amount"]) for r in batch) == [(u, n, a) for u, _, n, a in got]

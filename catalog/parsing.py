@@ -192,21 +192,18 @@ def _(spark, sf):
     return out.withColumn("total_amount", rounded(F.col("total_amount"), 4))
 
 
-# Whole texts of other tables, read as if they were log lines: nearly all of it is free text.
-_FREE = r"""SELECT id AS tx_id, lower(nullif(regexp_extract(text, '(?i)(withdrawal|deposit|cashout|purchase|transfer|top-up|debit|refund)', 1), '')) AS transaction_type,
-  CASE WHEN regexp_extract(text, '(?i)(user[0-9]+)', 1) = '' THEN NULL
-    WHEN starts_with(regexp_extract(text, '(?i)(user[0-9]+)', 1), 'user') THEN regexp_extract(text, '(?i)(user[0-9]+)', 1)
-    ELSE 'user' || regexp_extract(text, '(?i)(user[0-9]+)', 1) END AS user_id,
-  TRY_CAST(nullif(regexp_extract(text, '([£$€]?)([0-9]+\.?[0-9]*)', 2), '') AS DOUBLE) AS amount,
-  nullif(nullif(regexp_extract(text, '(?i)(London|Glasgow|Birmingham|Liverpool|Cardiff|Leeds|Manchester|None)', 1), ''), 'None') AS location
-  FROM t WHERE NOT (contains(text, '|') AND contains(text, 'user:') AND len(string_split(text, '|')) >= 3)
-    AND NOT (contains(text, '::') AND len(string_split(text, '::')) >= 4) AND NOT starts_with(text, 'usr:')
-    AND NOT (contains(text, '>>') AND contains(text, '[')) AND NOT (contains(text, ':::') AND contains(text, '***'))
-    AND NOT (contains(text, 'user=') AND contains(text, 'action=')) AND NOT starts_with(text, 'user')"""
+# Whole texts of other tables, read as if they were log lines: every text is a row, whatever layout claims it.
+_WHOLE = PARSED[len(RAW):] + """ SELECT cls.tx_id, format_id, timestamp, user_id, transaction_type, amount,
+  CASE WHEN format_id = 8 AND amount IS NULL THEN NULL ELSE currency END AS currency, fields.location, device,
+  CASE WHEN format_id = 8 THEN coalesce(timestamp IS NOT NULL OR user_id IS NOT NULL OR transaction_type IS NOT NULL OR amount <> 0
+    OR fields.location IS NOT NULL OR device IS NOT NULL, false) ELSE format_id IS NOT NULL END AS is_parsed,
+  CASE WHEN format_id IS NULL THEN 'Empty or malformed log' WHEN format_id = 8 AND amount > 1000000 THEN 'Unusually large amount' END AS parse_errors
+  FROM cls LEFT JOIN fields USING (tx_id)"""
 
 for _table, _key, _text in (("documents", "doc_id", "text"), ("conversations", "conv_id * 1000 + turn", "text"), ("pages", "page_id", "html")):
     def _as_logs(spark, sf, _table=_table, _key=_key, _text=_text):
         d = spark.read.parquet(f"{sf}/{_table}.parquet").select(F.expr(_key).alias("tx_id"), F.col(_text).alias("raw_log"))
-        return parse.parse_lines(d).filter(F.col("format_id") == 8).select(
-            "tx_id", "transaction_type", "user_id", "amount", "location")
-    query(f"{_table}_as_logs", f"WITH t AS (SELECT {_key} AS id, {_text} AS text FROM {_table}) {_FREE}")(_as_logs)
+        return parse.parse_lines(d).select(
+            "tx_id", "format_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "user_id", "transaction_type", "amount",
+            "currency", "location", "device", "is_parsed", "parse_errors")
+    query(f"{_table}_as_logs", f"WITH raw AS (SELECT {_key} AS tx_id, {_text} AS raw_log FROM {_table}) {_WHOLE}")(_as_logs)

@@ -120,6 +120,25 @@ def test_reliable_contexts_name_unseen_identifiers(spark):
     assert got[101]["spans"] == got[102]["spans"] == got[103]["spans"] == "" and got[5]["n_email"] == 1
 
 
+def test_unseen_identifiers_are_read_whole(spark):
+    """Long ones, numbers in groups, contexts of one letter; nothing is cut."""
+    rows = [(i, f"words here mailto user{i}@host{i}.example.org thanks and more") for i in range(30)]
+    rows += [(40 + i, f"words of t +44 20 7946 {1000 + i} z more") for i in range(30)]
+    long = "x" * 70 + "@localhost"
+    rows += [(100, f"words here mailto {long} thanks and more"), (101, "words of t 020 7946 0958 z more"), (102, "words of t 12 34 z more")]
+    got = {r["doc_id"]: r for r in pii.pii_report(pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got[100]["spans"] == f"email:18:{18 + len(long)}" and got[101]["spans"] == "phone:11:24"
+    assert got[102]["spans"] == "" and got[41]["n_phone"] == 1 and got[41]["n_found"] == 0
+
+
+def test_words_around_a_span_are_whole(spark):
+    odd = ["", " ", "a", "a ", " a\n\t", "b " + "x" * 100, "x" * 100, "b " + "x" * 46, "b " + "x" * 47, "a" + " " * 60, " " * 60 + "a", "語" * 90 + "\x01", "é\x00"]
+    both = spark.createDataFrame([(t, t) for t in odd], "t string, u string").select("t", pii.word_before(F.col("t")), pii.word_after(F.col("t")))
+    for text, before, after in both.collect():
+        found = re.findall(r"[^\x00-\x20]+", text)
+        assert (before, after) == ((found[-1], found[0]) if found else ("", "")), text
+
+
 def test_no_rows_give_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, text string, rid string")
     assert credentials.report(credentials.scanned(none), credentials.NAMES, 3, False).count() == 0

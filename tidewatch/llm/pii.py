@@ -26,11 +26,14 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: What may be an identifier: a run of characters with a digit or an at sign.
-CANDIDATE = r"(?<![^\x00-\x20])[^\x00-\x200-9@]*+[0-9@][^\x00-\x20]*+"
+#: What may be an identifier: groups of digits with single blanks between them, or a run of characters with a digit or an at sign.
+CANDIDATE = (
+    r"(?<![^\x00-\x20])(?:[+(]*+[0-9][0-9().-]*+(?:\x20[(]?[0-9][0-9().-]*+)++[^\x00-\x20]*+|[^\x00-\x200-9@]*+[0-9@][^\x00-\x20]*+)")
 NAMES = ["email", "ip", "card", "phone"]
 PATTERNS = [EMAIL, IP, CARD, PHONE, CANDIDATE]
-LOOKS = [r"@", r"[0-9]+[.:][0-9]", r"[0-9](?:[^A-Za-z0-9]*[0-9]){11}", r"[0-9](?:[^A-Za-z0-9]*[0-9]){6}"]
+LOOKS = [r"@", r"[0-9][.:][0-9]", r"[0-9](?:[^A-Za-z0-9]*+[0-9]){11}", r"[0-9](?:[^A-Za-z0-9]*+[0-9]){6}"]
+#: Context words are first looked for in so many characters; if they reach further, in the whole text.
+NEAR = 48
 ROUNDS = 3
 LEAST_SUPPORT = 5
 LEAST_PATTERN = 0.8
@@ -58,6 +61,22 @@ def _valid(kind: Column, found: Column) -> Column:
         .otherwise(found.isNotNull()))
 
 
+def word_before(text: Column) -> Column:
+    """The last run of characters above the blank, whole; empty if there is none."""
+    near = F.substring(text, -NEAR, NEAR)
+    whole = F.substring_index(F.rtrim(F.regexp_replace(text, r"[\x00-\x1F]", " ")), " ", -1)
+    return F.when((F.length(text) <= NEAR) | near.rlike(r"[\x00-\x20][^\x00-\x20]+[\x00-\x20]*$"), F.regexp_extract(
+        near, r"([^\x00-\x20]+)[\x00-\x20]*$", 1)).otherwise(whole)
+
+
+def word_after(text: Column) -> Column:
+    """The first run of characters above the blank, whole; empty if there is none."""
+    near = F.substring(text, 1, NEAR)
+    whole = F.substring_index(F.ltrim(F.regexp_replace(text, r"[\x00-\x1F]", " ")), " ", 1)
+    return F.when((F.length(text) <= NEAR) | near.rlike(r"^[\x00-\x20]*[^\x00-\x20]+[\x00-\x20]"), F.regexp_extract(
+        near, r"^[\x00-\x20]*([^\x00-\x20]+)", 1)).otherwise(whole)
+
+
 def extracted(docs: DataFrame) -> DataFrame:
     """(rid, doc_id, kind, start, end, instance, looks, left, right): base spans and candidates of every document.
 
@@ -72,14 +91,12 @@ def extracted(docs: DataFrame) -> DataFrame:
     rows = marked.select("rid", "doc_id", F.posexplode_outer("found").alias("pos", "p")).select(
         "rid", "doc_id", "pos", "p.kind", "p.before", "p.found")
     place = Window.partitionBy("rid", "kind").orderBy("pos")
-    side = lambda c, p: F.lower(F.regexp_extract(c, p, 1))
     good = _valid(F.col("kind"), F.col("found"))
     spans = positions(rows).withColumn("after", F.lead("before").over(place)).select(
         "rid", "doc_id", F.when(good, F.col("kind")).alias("kind"), F.when(good, F.col("start")).alias("start"), F.when(good, F.col("end")).alias("end"),
         F.xxhash64("found").alias("instance"), F.sha2(F.col("found").cast("binary"), 256).alias("name"),
-        F.array(*[F.substring("found", 1, 64).rlike(p) for p in LOOKS]).alias("looks"),
-        side(F.substring("before", -48, 48), r"([^\x00-\x20]{1,32})[\x00-\x20]*$").alias("left"),
-        side(F.substring("after", 1, 48), r"^[\x00-\x20]*([^\x00-\x20]{1,32})").alias("right"),
+        F.array(*[F.col("found").rlike(p) for p in LOOKS]).alias("looks"),
+        F.lower(word_before(F.col("before"))).alias("left"), F.lower(word_after(F.col("after"))).alias("right"),
         (F.col("kind").isNull() | (F.col("pos") == 0)).alias("first"))
     return spans.filter("kind is not null or first").drop("first")
 
@@ -101,12 +118,12 @@ def bootstrap(
     least_pattern: float = LEAST_PATTERN, least_instance: float = LEAST_INSTANCE,
 ) -> DataFrame:
     """(name, kind) of unseen instances that reliable patterns name."""
-    lexical = F.array_distinct(F.array(
-        F.concat(F.lit("L "), F.col("left")), F.concat(F.lit("R "), F.col("right")),
-        F.concat(F.lit("B "), F.col("left"), F.lit(" "), F.col("right"))))
+    left, right = F.nullif(F.col("left"), F.lit("")), F.nullif(F.col("right"), F.lit(""))
+    either = F.when(left.isNotNull() | right.isNotNull(), F.concat(F.lit("B "), F.col("left"), F.lit(" "), F.col("right")))
+    lexical = F.array_compact(F.array(F.concat(F.lit("L "), left), F.concat(F.lit("R "), right), either))
     known = spans.filter(F.col("kind") < len(NAMES))
     every = known.unionByName(candidates.withColumn("kind", F.lit(-1))).select(
-        "name", "kind", "looks", F.explode(lexical).alias("pattern")).filter(F.length("pattern") > 3)
+        "name", "kind", "looks", F.explode(lexical).alias("pattern"))
     edges = stored(every.groupBy("name", "kind", "pattern").agg(F.first("looks").alias("looks")), "pii-edges")
     is_kind = [F.coalesce((F.col("kind") == k).cast("double"), F.lit(0.0)) for k in range(len(NAMES))]
     belief = None

@@ -271,3 +271,14 @@ def test_mix_comes_near_its_targets(spark, slice_rows):
     again = mixing.mix(frame(spark, rows[::-1]).repartition(3), rows_per_slice=7).collect()
     key = lambda r: (str(r["doc_id"]), str(r["source"]), r["size"], r["taken"])
     assert sorted(map(key, got)) == sorted(map(key, again))
+
+
+def test_one_row_stays_of_repeated_and_missing_ids(spark):
+    rows = [(5, "a  b"), (5, "a b"), (None, "a\tc"), (None, "a c"), (5, "other"), (7, "a b"), (None, None), (8, ""), (9, "a c")]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, _id string, _sha string")
+    kept = exact.deduplicated(docs)
+    assert kept.columns == docs.columns
+    got = sorted((re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or ""), r["doc_id"]) for r in kept.collect())
+    assert got == [("", 8), ("a b", 5), ("a c", 9), ("other", 5)]
+    lonely = spark.createDataFrame([(None, "a\tc", "x", "y"), (None, "a c", "x", "y")], docs.schema)
+    assert exact.deduplicated(lonely).count() == 1

@@ -278,3 +278,19 @@ def test_stages_keep_their_columns_and_clean_documents(spark):
         now = spark.createDataFrame(rows, docs.schema)
     mixed = corpus_pipeline.STAGES[-1][1](spark, now, SF).collect()
     assert mixed and {r["doc_id"] for r in mixed} <= {r["doc_id"] for r in now.collect()} and all(r["copies"] >= 1 for r in mixed)
+
+
+def test_language_cuts_keep_clean_documents_of_any_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labelled = docs.filter(~langid.held_out(F.col("doc_id")))
+    model = langid.fit(labelled)
+    cuts = langid.calibrated(labelled, model)
+    tagged = langid.predict(docs.filter("lang is not null and text is not null"), model)
+    left = langid.accepted(tagged, cuts)
+    lost = tagged.join(left.select("doc_id"), "doc_id", "left_anti").filter(langid.held_out(F.col("doc_id")) & (F.col("lang_pred") != "und")).count()
+    assert lost <= 0.003 * tagged.filter(langid.held_out(F.col("doc_id"))).count()
+    assert left.filter("doc_id = 4616").count() == 1  # "A."
+    assert len(cuts) >= 2 and all(0.2 < c <= 0.5 for c in cuts.values())
+    odd = spark.createDataFrame([(1, "12 34"), (2, None), (3, "ქართული ენა არის " * 40), (4, "The")], "doc_id long, text string")
+    assert {r["doc_id"] for r in langid.accepted(langid.predict(odd, model), cuts).collect()} == {4}
+    assert langid.accepted(langid.predict(odd, model), {}).count() == 2

@@ -96,11 +96,12 @@ def exact_groups(docs: DataFrame, digest=sha256, files_per_batch: int = FILES_PE
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns.
 
-    Ids name documents here: of rows that repeat an id with the same text, one stays.
+    Ids name documents here: of rows that repeat an id (or lack it) with equal normalised texts, one stays.
     """
-    held = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == sha256(normalised(F.col("text"))))
-    return docs.join(held, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    held = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"))
+    own = docs.withColumn("_row_digest", sha256(normalised(F.col("text"))))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_row_digest") == F.col("_kept_digest"))
+    return own.join(held, same, "left_semi").dropDuplicates(["doc_id", "_row_digest"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_stream_dedup(spark, sf_dir):

@@ -32,6 +32,10 @@ from .common import mix, table
 SIZE = 4
 SLOTS = 1 << 20
 PROBES = 3
+#: A cut lies below the score that this share of labelled texts miss; so many of them (on average) are scored to find it.
+ERROR, CALIBRATION_ROWS = 0.001, 20_000
+#: Texts that taught score higher than new ones, so a cut is this part of their quantile.
+MARGIN = 0.5
 ROWS_PER_LANG = 4000
 LEAST_COUNT = 3
 #: An n-gram belongs to a language if it is at least this fraction as frequent as where it is most frequent.
@@ -164,6 +168,32 @@ def predict(docs: DataFrame, model: LanguageFilters) -> DataFrame:
     return docs.withColumn("_tag", tagged("text")).select(*docs.columns, "_tag.lang_pred", "_tag.score")
 
 
+def band(text: Column) -> Column:
+    """Length class of a text: whole part of the binary logarithm of its code points."""
+    return F.floor(F.log2(F.greatest(F.lit(1), F.length(F.coalesce(text, F.lit("")))))).cast("int")
+
+
+def calibrated(labelled: DataFrame, model: LanguageFilters, error: float = ERROR, rows: int = CALIBRATION_ROWS) -> dict[int, float]:
+    """Per length class a cut well below the score that ``error`` of the labelled texts miss; short texts vary more than long ones.
+
+    Scores a sample of ``rows`` labelled texts on average. A class with fewer than 1 / ``error`` of them can't be judged and has no cut.
+    """
+    usable = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    n = usable.count()
+    at = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    seen = predict(usable.filter(at < min(1.0, rows / max(1, n))).select("text", "lang"), model).filter("lang_pred <> 'und'")
+    cuts = seen.groupBy(band(F.col("text")).alias("band")).agg((MARGIN * F.percentile_approx("score", error, 10_000)).alias("cut"), F.count(F.lit(1)).alias("n")).filter(F.col("n") * error >= 1)
+    return {r["band"]: r["cut"] for r in cuts.collect()}  # a row per length class
+
+
+def accepted(tagged: DataFrame, cuts: dict[int, float]) -> DataFrame:
+    """Rows of predicted texts that are in a learned language and don't score below their class's cut."""
+    least = F.lit(0.0)
+    if cuts:
+        least = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in cuts.items() for x in kv]), band(F.col("text"))), least)
+    return tagged.filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+
+
 def op9_language_filters(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.filter(~held_out(F.col("doc_id"))))

@@ -12,7 +12,7 @@ from tidewatch.operators.forest import fit_isolation_forest
 from tidewatch.operators.hierarchy import hierarchy_scores
 from tidewatch.operators.lof import fit_lof, lof_scores
 from tidewatch.operators.neighbours import build_index, nearest_points, weighted_points
-from tidewatch.operators.oneclass import oneclass_scores
+from tidewatch.operators.oneclass import fit_oneclass, oneclass_scores
 from tidewatch.operators.skew import checkpointed, shared_folder
 from tidewatch.plans import detect
 from tidewatch.plans.features import extract_features
@@ -212,6 +212,16 @@ def _(spark, sf):
     return scoring.minmax(oneclass_scores(x, output="raw").select("tx_id", "raw"), {"raw": "one_class_svm_score"})
 
 
+@query("one_class_optimum", "SELECT count(*) AS n_rows, true AS gap_met, true AS share_near_nu FROM embeddings")
+def _(spark, sf):
+    """The fit is optimal: its duality gap is closed, and the share of outliers is nu to one in a hundred."""
+    x = vectors(spark, sf)
+    model = fit_oneclass(x, nu=0.1)
+    return model.score(x, "raw").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(model.gap <= 1e-3).alias("gap_met"),
+        (F.abs(F.avg((F.col("raw") > 0).cast("double")) - 0.1) <= 0.01).alias("share_near_nu"))
+
+
 @query("hierarchy_scores", None)
 def _(spark, sf):
     return hierarchy_scores(vectors(spark, sf), chunk_rows=200).select("tx_id", "hierarchy_raw")

@@ -10,7 +10,7 @@ from tidewatch.operators.hierarchy import hierarchy_scores
 from tidewatch.operators.importance import permutation_importance, shuffled_partner
 from tidewatch.operators.lof import fit_lof, load_lof, lof_scores
 from tidewatch.operators.neighbours import build_index, nearest_points, weighted_points
-from tidewatch.operators.oneclass import fit_oneclass, oneclass_scores
+from tidewatch.operators.oneclass import FourierMap, corrected, fit_oneclass, oneclass_scores
 from tidewatch.operators.skew import checkpointed
 
 
@@ -147,6 +147,45 @@ def test_one_class(spark, blobs):
     assert s[-3:].min() > np.quantile(s, 0.8)
 
 
+@pytest.mark.parametrize("copies", [1, 200])
+@pytest.mark.parametrize("nu", [0.05, 0.3])
+def test_one_class_reaches_the_optimum(spark, blobs, nu, copies):
+    """Gap below the tolerance, the share of outliers near nu, and no shorter vector by an independent solver."""
+    x = np.vstack([blobs, np.repeat(blobs[130:131], copies - 1, axis=0)])
+    model = fit_oneclass(table(spark, x), nu=nu, tolerance=1e-4)
+    assert model.gap <= 1e-4 and model.steps < 40
+    score = model.score(table(spark, x), "s").toPandas().sort_values("tx_id")["s"].to_numpy()
+    assert (score > 1e-6).mean() <= nu + 1e-9 <= (score > -1e-3).mean() + 1e-9
+    z = FourierMap(model.dims, model.gamma, model.size, model.seed)(x)
+    alpha, bound = np.full(len(x), 1 / len(x)), 1 / (nu * len(x))
+    rate, ahead, t = np.linalg.norm(z, 2) ** 2, alpha, 1.0
+    for _ in range(1500):  # accelerated projected gradient on the weights of the rows, projected by bisection
+        step = ahead - z @ (z.T @ ahead) / rate
+        lo, hi = step.min() - 1, step.max()
+        for _ in range(40):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if (step - mid).clip(0, bound).sum() > 1 else (lo, mid)
+        before, alpha, t, was = alpha, (step - lo).clip(0, bound), (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        ahead = alpha + (was - 1) / t * (alpha - before)
+    best = ((z.T @ alpha) ** 2).sum()
+    assert np.dot(model.weights, model.weights) == pytest.approx(best, rel=5e-4)
+
+
+def test_corrected_shares():
+    """The point nearest to the origin: inside an edge, at a corner, and with a repeated atom."""
+    assert np.allclose(corrected(np.array([[1.0, 0], [0, 1.0], [2.0, 2.0]]), np.array([0, 0, 1.0])), [0.5, 0.5, 0])
+    assert np.allclose(corrected(np.array([[1.0, 0], [2.0, 1.0]]), np.array([0.5, 0.5])), [1, 0])
+    assert corrected(np.array([[1.0, 0], [1.0, 0]]), np.array([0.3, 0.7])).sum() == pytest.approx(1.0)
+
+
+def test_one_class_of_equal_and_of_no_rows(spark):
+    model = fit_oneclass(table(spark, np.ones((6, 2))))
+    assert model.gap == pytest.approx(0.0, abs=1e-9)
+    assert {round(r["s"], 9) for r in model.score(table(spark, np.ones((6, 2))), "s").collect()} == {0.0}
+    with pytest.raises(ValueError):
+        fit_oneclass(table(spark, np.ones((6, 2))).filter("tx_id < 0"))
+
+
 def test_hierarchy(spark, blobs):
     s = hierarchy_scores(table(spark, blobs)).toPandas().sort_values("tx_id")["hierarchy_raw"].to_numpy()
     assert ((0 <= s) & (s <= 1)).all() and s[-3:].min() >= np.median(s)

@@ -10,6 +10,7 @@ from tidewatch.operators import hashed, matrix as M, profiling, scoring
 from tidewatch.operators.dbscan import dbscan_labels, dbscan_scores
 from tidewatch.operators.forest import fit_isolation_forest
 from tidewatch.operators.hierarchy import hierarchy_scores
+from tidewatch.operators.importance import permutation_importance
 from tidewatch.operators.lof import fit_lof, lof_scores
 from tidewatch.operators.neighbours import build_index, nearest_points, weighted_points
 from tidewatch.operators.oneclass import fit_oneclass, oneclass_scores
@@ -248,6 +249,15 @@ def _(spark, sf):
     return detect.fit_detectors(f).feature_importance(f)
 
 
+@query("permutation_spread", None)
+def _(spark, sf):
+    """Importance by permutation alone, with its spread over the repeats."""
+    f = features(spark, sf)
+    matrix = M.fit_matrix(f)
+    x = checkpointed(matrix.transform(f))
+    return permutation_importance(x, matrix.names, fit_isolation_forest(x))
+
+
 # --- evaluation ----------------------------------------------------------------------
 
 @query("evaluation", """WITH s AS (SELECT quality, ntile / 100 AS score FROM (SELECT l.quality, d.n_chars % 101 AS ntile FROM labels l JOIN documents d USING (doc_id))),

@@ -3,11 +3,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.config import ScaleLimits
 from tidewatch.operators import components, scoring
 from tidewatch.operators.dbscan import dbscan_labels, dbscan_scores
-from tidewatch.operators.forest import fit_isolation_forest
+from tidewatch.operators.forest import ForestArrays, fit_isolation_forest
 from tidewatch.operators.hierarchy import hierarchy_scores
-from tidewatch.operators.importance import permutation_importance, shuffled_partner
+from tidewatch.operators.importance import numbered, permutation_importance, permuted_blocks
 from tidewatch.operators.lof import fit_lof, load_lof, lof_scores
 from tidewatch.operators.neighbours import build_index, nearest_points, weighted_points
 from tidewatch.operators.oneclass import FourierMap, corrected, fit_oneclass, oneclass_scores
@@ -200,13 +201,56 @@ def test_importance(spark):
     assert out["varies"] == pytest.approx(1.0) and out["constant"] == 0.0
 
 
-def test_partner_is_a_permutation(spark):
-    from tidewatch.config import ScaleLimits
-    df = table(spark, np.arange(100)[:, None])
+@pytest.mark.parametrize("rows,block", [(100, 16), (100, 2048), (97, 7), (1, 4), (2, 4)])
+def test_every_column_gets_its_own_permutation(spark, rows, block):
+    x = np.column_stack([np.arange(rows), np.arange(rows) + 1000.0])
+    work = lambda ids, x, moved: pd.DataFrame([
+        (int(i), c, r, float(v)) for c in (0, 1) for r in (0, 1) for i, v in zip(ids, moved(c, r))], columns=["id", "c", "r", "v"])
+    tables = []
     for limits in (ScaleLimits(), ScaleLimits(rows_per_task=15)):
-        rows = shuffled_partner(df, 1, limits).collect()
-        assert sorted(r["partner"][0] for r in rows) == list(range(100))
-        assert all(r["partner"] != r["features"] for r in rows)
+        out = permuted_blocks(table(spark, x), work, "id long, c int, r int, v double", 1, 2, block, limits).toPandas()
+        tables.append({k: g.sort_values("id")["v"].to_numpy() for k, g in out.groupby(["c", "r"])})
+        for (c, r), v in tables[-1].items():
+            assert sorted(v) == sorted(x[:, c])
+    assert len(tables[0]) == 4
+    if rows > 50:
+        got = [tables[0][k] - 1000 * k[0] for k in tables[0]]
+        assert all((a == b).mean() < 0.2 for i, a in enumerate(got) for b in got[:i])
+        assert all((a == np.arange(rows)).mean() < 0.2 for a in got)
+        # Neighbours do not stay neighbours.
+        assert all((np.diff(a) == 1).mean() < 0.2 for a in got)
+
+
+def test_numbers_are_dense_in_any_ranges(spark):
+    df = table(spark, np.zeros((100, 1)))
+    one = {r["tx_id"]: r["_row"] for r in numbered(df, 100, 3).collect()}
+    many = {r["tx_id"]: r["_row"] for r in numbered(df.repartition(3), 100, 3, ScaleLimits(rows_per_task=9)).collect()}
+    assert one == many and sorted(one.values()) == list(range(100))
+
+
+def test_planted_column_ranks_first(spark):
+    """Against a direct computation; the spread is small for many rows, and repeats agree with each other."""
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.normal(0, 0.01, 400), np.where(rng.random(400) < 0.1, 9.0, 0.0) + rng.normal(0, 1, 400), np.zeros(400)])
+    df = table(spark, x)
+    forest = fit_isolation_forest(df, trees=30, subsample=128)
+    out = {r["feature"]: r for r in permutation_importance(df, ["a", "planted", "flat"], forest, block=64).collect()}
+    arrays = ForestArrays(forest.nodes, forest.subsample)
+    base, change = arrays.score(x), []
+    for c in range(3):
+        moved = []
+        for _ in range(20):
+            y = x.copy()
+            y[:, c] = rng.permutation(x[:, c])
+            moved.append(np.abs(arrays.score(y) - base).mean())
+        change.append(np.mean(moved))
+    want = np.array(change) / np.sum(change)
+    for name, w in zip(["a", "planted", "flat"], want):
+        assert out[name]["importance"] == pytest.approx(w, abs=0.05)
+    assert out["flat"]["importance"] == 0 and out["flat"]["spread"] == 0
+    assert 0 < out["planted"]["spread"] < 0.1
+    assert (out["planted"]["importance"] > out["a"]["importance"]) == (want[1] > want[0])
+    assert permutation_importance(df.filter("tx_id < 0"), ["a", "planted", "flat"], forest).count() == 0
 
 
 def test_equal_scores_normalise_to_zero(spark):

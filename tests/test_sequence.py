@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.config import ScaleLimits
-from tidewatch.operators import sequence
+from tidewatch.operators import sequence, skew
 
 SCHEMA = "tx_id long, user_id string, timestamp timestamp, amount double, location string, device string"
 
@@ -96,6 +96,29 @@ def test_recent_locations(spark, limits):
             assert got[i] == len(near)
 
 
+def test_one_user_in_one_place(spark):
+    """All rows under one key: no block above the ceiling, whatever the fair share, and the counts stay right."""
+    rows = [(i, "u", datetime(2024, 1, 1) + timedelta(minutes=7 * i), 1.0, "L" if i % 50 else "M", "x") for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    limits = ScaleLimits(rows_per_task=10_000, most_rows=100)
+    assert skew.fair_share(spark, 10**9, limits) == 100
+    visits = df.select("user_id", "location", F.col("timestamp").alias("_t")).distinct()
+    nxt = {(r[1], r[2]): r[3] for r in skew.next_in_order(visits, ["user_id", "location"], "_t", "n", limits).select(
+        "user_id", "location", "_t", "n").collect()}
+    for place in "LM":
+        times = sorted(r[2] for r in rows if r[4] == place)
+        assert [nxt[place, a] for a in times] == times[1:] + [None]
+    pairs = visits.withColumn("_pair", F.xxhash64("user_id", "location"))
+    hot, share = skew.hot_keys(pairs, "_pair", limits)
+    assert len(hot) == 1
+    points = skew.cut_points(pairs, "_pair", ["_t"], hot, share)
+    blocks = skew.with_blocks(pairs, {k: skew.evenly(v, 2 * hot[k] // share + 1) for k, v in points.items()}, "_pair", ["_t"])
+    assert max(r["count"] for r in blocks.groupBy("_block").count().collect()) <= 100
+    got = {r["tx_id"]: r["recent_locations"] for r in sequence.distinct_locations_within(df, 3, limits=limits).collect()}
+    for i, _, when, *_ in rows:
+        assert got[i] == len({r[4] for r in rows if when - timedelta(hours=3) <= r[2] <= when})
+
+
 def test_no_order_columns(spark):
     df = spark.createDataFrame([(1, 2.0)], "tx_id long, amount double")
     assert sequence.sequence_features(df).columns == ["tx_id", "amount"]

@@ -46,11 +46,14 @@ class ScaleLimits:
     hold at most this many rows. ``quantile_values``: exact quantiles aggregate
     in one task only up to this many distinct values. ``rows_per_task``: a key
     holding more rows than this (and more than its fair share) is split.
+    ``most_rows``: a key holding more rows than this is split however large the
+    table and its fair share are.
     """
 
     broadcast_rows: int = 500_000
     quantile_values: int = 1_000_000
     rows_per_task: int = 2_000_000
+    most_rows: int = 20_000_000
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import DEFAULTS, ScaleLimits
 from ..functions.numbers import flag_int, micros, rounded
-from .skew import cut_points, evenly, hot_keys, running_total, with_blocks
+from .skew import cut_points, evenly, hot_keys, next_in_order, running_total, with_blocks
 
 _HOUR = 3600 * 1_000_000
 _LAST = 2**63 - 1
@@ -184,15 +184,16 @@ def distinct_locations_within(
 
     Each visit keeps its location open until the next visit to it or until it leaves
     the window, so a running sum of openings and closings counts the open locations.
+    Both the visits of a hot user to one place and a hot user's sum are cut into blocks.
     """
     width = hours * _HOUR
     t = F.col("_t")
     rows = df.withColumn("_t", micros(F.col("timestamp")))
     timed = rows.filter(F.col("user_id").isNotNull() & t.isNotNull())
     visits = timed.filter(F.col("location").isNotNull()).select("user_id", "location", "_t").distinct()
-    nxt = F.lead("_t").over(Window.partitionBy("user_id", "location").orderBy("_t"))
-    close = F.least(F.coalesce(nxt, t + width + 1), t + width + 1)
-    steps = visits.withColumn("_close", close).select("user_id", F.inline(F.array(
+    followed = next_in_order(visits, ["user_id", "location"], "_t", "_next", limits)
+    close = F.least(F.coalesce("_next", t + width + 1), t + width + 1)
+    steps = followed.withColumn("_close", close).select("user_id", F.inline(F.array(
         F.struct(t.alias("_t"), F.lit(1).alias("_step")),
         F.struct(F.col("_close").alias("_t"), F.lit(-1).alias("_step")))))
     points = timed.select("user_id", "_t", F.lit(0).alias("_step")).unionByName(steps).groupBy("user_id", "_t").agg(

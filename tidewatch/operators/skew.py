@@ -124,15 +124,16 @@ def quantiles(
 # --- hot keys ---------------------------------------------------------------
 
 def fair_share(spark: SparkSession, rows: int, limits: ScaleLimits) -> int:
-    """Rows of one key that one task may take."""
+    """Rows of one key that one task may take: grows with the table up to a ceiling."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(limits.rows_per_task, 2 * rows // partitions)
+    return min(max(limits.rows_per_task, 2 * rows // partitions), limits.most_rows)
 
 
 def hot_keys(df: DataFrame, key: str, limits: ScaleLimits) -> tuple[dict, int]:
     """Keys (null included) with more rows than their fair share, and that share.
 
-    There are fewer such keys than shuffle partitions, whatever the data.
+    There are at most as many such keys as shares in the table: fewer than shuffle
+    partitions below the ceiling, one per ``limits.most_rows`` rows beyond it.
     """
     rows = df.select(key).count()
     share = fair_share(df.sparkSession, rows, limits)
@@ -212,3 +213,24 @@ def running_total(
         .withColumn("_sum", F.col("_run") + F.coalesce(F.col("_offset"), F.lit(0)))
         .drop("_block", "_run", "_offset")
     )
+
+
+def next_in_order(df: DataFrame, keys: list[str], order: str, name: str, limits: ScaleLimits) -> DataFrame:
+    """Add ``name``: the next ``order`` value of the same keys (null for the last); keys and order are distinct and not null.
+
+    Keys with too many rows are cut into blocks at sampled points; the last row of a
+    block continues with the first of the next one (one row per block).
+    """
+    # Keys are cut by their hash; windows and joins use the keys themselves, so equal hashes do no harm.
+    rows = df.withColumn("_pair", F.xxhash64(*keys))
+    hot, share = hot_keys(rows, "_pair", limits)
+    if not hot:
+        return df.withColumn(name, F.lead(order).over(Window.partitionBy(*keys).orderBy(order)))
+    sample = cut_points(rows, "_pair", [order], hot, share)
+    cut = with_blocks(
+        rows, {k: evenly(v, math.ceil(2 * hot[k] / share)) for k, v in sample.items()}, "_pair", [order], how="left")
+    first = cut.filter(F.col("_block").isNotNull()).groupBy(*keys, "_block").agg(F.min(order).alias("_first"))
+    after = first.select(*keys, "_block", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_block")).alias("_after"))
+    inside = F.lead(order).over(Window.partitionBy(*keys, "_block").orderBy(order))
+    return cut.withColumn("_lead", inside).join(F.broadcast(after), [*keys, "_block"], "left").withColumn(
+        name, F.coalesce("_lead", "_after")).drop("_pair", "_block", "_lead", "_after")

@@ -273,6 +273,18 @@ def test_mix_comes_near_its_targets(spark, slice_rows):
     assert sorted(map(key, got)) == sorted(map(key, again))
 
 
+def test_mixed_texts_are_those_of_the_mix(spark):
+    rows = [(i, f"word{i} " * (i % 9 + 1), "ab"[i % 2] if i % 5 else None) for i in range(120)]
+    rows += [(5, "w w w", "a"), (5, "w w w", "a"), (5, "other text", "a"), (None, "w", None), (None, "v", None), (300, None, "a"), (301, "", "b")]
+    docs = frame(spark, rows)
+    got = mixing.mixed_texts(docs).collect()
+    key = lambda r: (str(r["doc_id"]), str(r["source"]), r["size"], r["copies"])
+    assert sorted(map(key, got)) == sorted(map(key, mixing.mix(docs).filter("copies > 0").collect()))
+    assert {(r["doc_id"], r["text"], r["source"]) for r in got} <= set(rows)
+    assert sum(r["copies"] * len(r["text"].split()) for r in got) == sum(r["taken"] for r in got)
+    assert mixing.mixed_texts(docs.filter("doc_id < 0")).count() == 0
+
+
 def test_one_row_stays_of_repeated_and_missing_ids(spark):
     rows = [(5, "a  b"), (5, "a b"), (None, "a\tc"), (None, "a c"), (5, "other"), (7, "a b"), (None, None), (8, ""), (9, "a c")]
     docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, _id string, _sha string")

@@ -277,6 +277,8 @@ def test_stages_keep_their_columns_and_clean_documents(spark):
             assert left == {i for i, t, _ in before if not judged(t, items)[4]}
         now = spark.createDataFrame(rows, docs.schema)
     mixed = corpus_pipeline.STAGES[-1][1](spark, now, SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in now.collect()}
+    assert all(r["text"] == texts[r["doc_id"]] for r in mixed) and len(mixed) == len({r["doc_id"] for r in mixed})
     assert mixed and {r["doc_id"] for r in mixed} <= {r["doc_id"] for r in now.collect()} and all(r["copies"] >= 1 for r in mixed)
 
 

@@ -69,7 +69,7 @@ def targets(sources: DataFrame, weights=WEIGHTS, most: float = MOST_REPEATS) ->
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_REPEATS, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) of every document."""
+    """(doc_id, source, size, source_size, target, copies, taken, tie) of every document; ``tie`` is the hash of its text."""
     facts = stored(docs.select(
         "doc_id", "source", text_size(F.col("text")).alias("size"),
         draw(F.col("doc_id")).alias("u"), F.xxhash64("text").alias("tie")), "sizes")
@@ -108,7 +108,21 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_REPEATS, rows_per_s
     picked = (F.col("p") > 0) & (F.col("size") > 0) & F.col("_taken")
     copies = F.when(F.col("size") > 0, F.col("certain") + F.when(picked, 1).otherwise(0)).otherwise(0).cast("long")
     return sorted_edge.unionByName(others).withColumn("copies", copies).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "tie")
+
+
+def mixed_texts(docs: DataFrame, **how) -> DataFrame:
+    """The documents that the mix takes, one row each with ``copies``, ``taken`` and the whole text.
+
+    The mix is worked out without texts, which join at the end by id, source and text hash. Rows that agree in all
+    three have one text, which is joined to each of them that is taken. Empty tables give empty results.
+    """
+    keys = ["doc_id", "source", "tie"]
+    texts = docs.select("doc_id", "source", F.xxhash64("text").alias("tie"), "text").groupBy(*keys).agg(F.any_value("text").alias("text"))
+    renamed = texts.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return mix(docs, **how).filter("copies > 0").join(renamed, same).select(
+        "doc_id", "source", "text", "size", "source_size", "target", "copies", "taken")
 
 
 def op1_pareto_mix(spark, sf_dir):

@@ -66,8 +66,10 @@ def percentile_table(
         "amount", ratio(F.col("below") + (F.col("n") + 1) / 2, F.col("size")).alias("amount_percentile")), distinct
 
 
-def amount_percentile(df: DataFrame, limits: ScaleLimits = DEFAULTS.limits) -> DataFrame:
-    table, distinct = percentile_table(df, limits)
+def amount_percentile(
+    df: DataFrame, limits: ScaleLimits = DEFAULTS.limits, distinct: int | None = None
+) -> DataFrame:
+    table, distinct = percentile_table(df, limits, distinct)
     return lookup(df, table, ["amount"], distinct, limits)
 
 
@@ -92,16 +94,18 @@ def apply_context(
 
 
 def contextual_features(
-    df: DataFrame, options: Options = DEFAULTS, source: DataFrame | None = None, amounts: int | None = None
+    df: DataFrame, options: Options = DEFAULTS, source: DataFrame | None = None, amounts: int | None = None,
+    ranked: bool = False,
 ) -> DataFrame:
     """All contextual features of ``df``, which must already have its ``hour``.
 
     ``source`` is a cheaper plan with the same rows (such as the parsed table that
     ``df`` was built from); the lookup tables are then made from it. ``amounts`` is the
-    number of distinct amounts, where it is already measured.
+    number of distinct amounts, where it is already measured. With ``ranked``, ``df`` carries
+    its ``amount_percentile`` already.
     """
     source = df if source is None else source
-    given = df.columns
+    given = [c for c in df.columns if not (ranked and c == "amount_percentile")]
     for col, kind in (("location", "string"), ("device", "string"), ("transaction_type", "string"),
                       ("hour", "int"), ("amount", "double")):
         if col not in df.columns:
@@ -117,6 +121,7 @@ def contextual_features(
     else:
         sizes = {name: table.count() for name, (_, table) in tables.items()}
     out = apply_context(df, tables, sizes, options)
-    table, distinct = percentile_table(source, options.limits, amounts)
-    out = lookup(out, table, ["amount"], distinct, options.limits)
+    if not ranked:
+        table, distinct = percentile_table(source, options.limits, amounts)
+        out = lookup(out, table, ["amount"], distinct, options.limits)
     return out.select(*given, *CONTEXT_COLUMNS)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import DEFAULTS, Options
 from ..operators.basic import amount_statistics, basic_features
-from ..operators.context import contextual_features
+from ..operators.context import amount_percentile, contextual_features
 from ..operators.sequence import sequence_features
-from ..operators.skew import distinct_estimate
+from ..operators.skew import checkpointed, distinct_estimate
 from ..operators.users import user_features, user_profile
 
 REQUIRED = ["timestamp", "user_id", "amount", "transaction_type"]
@@ -35,20 +35,26 @@ def extract_features(df: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """Parsed transactions to the full feature table.
 
     The sequence windows shuffle by user once and the user profile joins on that
-    same partitioning; the remaining features are projections and lookups.
+    same partitioning; the remaining features are projections and lookups. Where the ranks
+    of the amounts are too many to broadcast, they join the parsed rows, before the feature
+    columns exist, and are stored with them; so the wide rows never move by amount.
     """
     missing = [c for c in REQUIRED if c not in df.columns]
     if missing:
         warnings.warn(f"missing recommended columns: {', '.join(missing)}", stacklevel=2)
     stats = amounts = None
+    source, ranked = df, False
     if "amount" in df.columns:
         amounts = distinct_estimate(df, F.col("amount"))
         stats = amount_statistics(df, options.limits, distinct=amounts)
+        ranked = amounts > options.limits.broadcast_rows and "amount_percentile" not in df.columns
+        if ranked:
+            df = checkpointed(amount_percentile(df, options.limits, amounts))
     out = sequence_features(df, options.velocity_window_hours, options.limits)
     if "user_id" in df.columns:
-        out = user_features(out, user_profile(df))
+        out = user_features(out, user_profile(source))
     out = basic_features(out, stats, options.limits)
-    out = contextual_features(out, options, source=df, amounts=amounts)
+    out = contextual_features(out, options, source=source, amounts=amounts, ranked=ranked)
     return out.withColumn("feature_extraction_timestamp", F.current_timestamp())
 
 

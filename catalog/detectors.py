@@ -22,6 +22,7 @@ from tidewatch.streaming import run, score, sequence, windows
 
 from .data import PARSED, TX, event_stream, events, raw_logs, to_raw_logs, to_transactions, transactions
 from .features import r, sequence_sql
+from .rules import LOG_TX, WEIGHTS, ruled_sql
 
 QUERIES, ORACLES = {}, {}
 
@@ -320,13 +321,21 @@ def _(spark, sf):
 
 # --- streams ----------------------------------------------------------------------------
 
-@query("stream_scores", None)
+# A line on a stream has no features of a user's order: two rules cannot fire, and velocity falls back on the user's count.
+_STREAM_RULES = {**{f"rule_{n}": f"rule_{n}" for n in WEIGHTS}, "rule_device_change": "0", "rule_amount_deviation": "0",
+                 "rule_high_velocity": "CAST(coalesce(user_tx_count > 5, false) AS INT)"}
+_STREAM_SUM = " + ".join(f"{_STREAM_RULES[f'rule_{n}']} * {w}::DOUBLE" for n, w in WEIGHTS.items())
+
+
+@query("stream_scores", f"""WITH {ruled_sql(LOG_TX)} SELECT tx_id, timestamp, user_id, amount,
+  round_even(({_STREAM_SUM}) / {sum(WEIGHTS.values())}::DOUBLE, 8) AS rule_score FROM ruled""")
 def _(spark, sf):
     from tidewatch.operators.parse import parse_logs, valid_rows
     path = _fresh(spark, "profile")
     score.save_profile(valid_rows(parse_logs(raw_logs(spark, sf))), path)
     scored = score.score_lines(to_raw_logs(event_stream(spark, sf)), score.load_profile(spark, path))
-    return run.run_available(scored.select("tx_id", "timestamp", "user_id", "amount", "rule_score"))
+    out = run.run_available(scored.select("tx_id", "timestamp", "user_id", "amount", "rule_score"))
+    return out.withColumns({**r(8, "rule_score"), "timestamp": F.col("timestamp").cast("timestamp_ntz")})
 
 
 _STREAMED = ["user_id", "tx_id", "timestamp", "tx_velocity_24h", "time_since_last_tx", "location_changed", "device_changed"]

@@ -48,17 +48,17 @@ _RULE_SQL = {
     "multiple_locations": _D("user_unique_locations >= 3"),
     "round_amounts": _D("amount % 100 = 0 AND amount >= 100"),
 }
-_WEIGHTS = {x.name: x.weight for x in DEFAULT_RULES}
-_SUM = " + ".join(f"rule_{n} * {w}::DOUBLE" for n, w in _WEIGHTS.items())
+WEIGHTS = {x.name: x.weight for x in DEFAULT_RULES}
+_SUM = " + ".join(f"rule_{n} * {w}::DOUBLE" for n, w in WEIGHTS.items())
 
 
 def ruled_sql(tx):
     return f"""{profile_sql(tx)}{_FEAT}, rules0 AS (SELECT *, {', '.join(f'{s} AS rule_{n}' for n, s in _RULE_SQL.items())} FROM feat),
-  ruled AS (SELECT *, ({_SUM}) / {sum(_WEIGHTS.values())}::DOUBLE AS rule_score FROM rules0)"""
+  ruled AS (SELECT *, ({_SUM}) / {sum(WEIGHTS.values())}::DOUBLE AS rule_score FROM rules0)"""
 
 
 _RULED = ruled_sql(TX)
-_RULE_COLS = [f"rule_{n}" for n in _WEIGHTS]
+_RULE_COLS = [f"rule_{n}" for n in WEIGHTS]
 
 
 @query("rule_scores", f"""WITH {_RULED} SELECT tx_id, {', '.join(_RULE_COLS)}, round_even(rule_score, 8) AS rule_score FROM ruled""")
@@ -66,14 +66,14 @@ def _(spark, sf):
     return ruled(spark, sf).select("tx_id", *_RULE_COLS, rounded(F.col("rule_score"), 8).alias("rule_score"))
 
 
-for _name in _WEIGHTS:
+for _name in WEIGHTS:
     def _rule(spark, sf, _name=_name):
         return ruled(spark, sf).select("tx_id", "user_id", f"rule_{_name}")
     query(f"rule_{_name}", f"WITH {_RULED} SELECT tx_id, user_id, rule_{_name} FROM ruled")(_rule)
 
 
 _PAIRS = ", ".join(
-    f"{{'n': '{n}', 'c': rule_{n} * {w}::DOUBLE, 's': rule_{n}, 'p': {i}}}" for i, (n, w) in enumerate(_WEIGHTS.items()))
+    f"{{'n': '{n}', 'c': rule_{n} * {w}::DOUBLE, 's': rule_{n}, 'p': {i}}}" for i, (n, w) in enumerate(WEIGHTS.items()))
 _PARTS = f"""parts AS (SELECT tx_id, unnest([{_PAIRS}]) AS x FROM ruled),
   fired AS (SELECT tx_id, string_agg(x.n, '; ' ORDER BY x.c DESC, x.p) AS names,
     string_agg(x.n, '; ' ORDER BY x.c DESC, x.p) FILTER (rn <= 3) AS top3, count(*) AS n
@@ -93,21 +93,21 @@ def _(spark, sf):
     f"SELECT '{n}' AS rule_name, {w}::DOUBLE AS weight, count(*) FILTER (rule_{n} > 0) AS triggered_count, "
     f"round_even(count(*) FILTER (rule_{n} > 0) / count(*), 8) AS trigger_rate, round_even(avg(rule_{n}), 8) AS mean_score, "
     f"max(rule_{n}) AS max_score, round_even(sum(rule_{n} * {w}::DOUBLE), 6) AS contribution_to_total FROM ruled"
-    for n, w in _WEIGHTS.items())})""")
+    for n, w in WEIGHTS.items())})""")
 def _(spark, sf):
     out = RULES.statistics(ruled(spark, sf)).drop("description")
     return out.withColumns({**r(8, "trigger_rate", "mean_score"), **r(6, "contribution_to_total")})
 
 
 @query("rule_weights", f"""WITH {_RULED} SELECT tx_id, round_even(({_SUM.replace('rule_large_amount * 0.3', 'rule_large_amount * 0.6').replace(
-    'rule_multiple_locations * 0.2', 'rule_multiple_locations * 0')}) / {sum(_WEIGHTS.values()) + 0.3 - 0.2}::DOUBLE, 8) AS rule_score FROM ruled""")
+    'rule_multiple_locations * 0.2', 'rule_multiple_locations * 0')}) / {sum(WEIGHTS.values()) + 0.3 - 0.2}::DOUBLE, 8) AS rule_score FROM ruled""")
 def _(spark, sf):
     rules = RULES.with_weight("large_amount", 0.6).disabled("multiple_locations")
     return ruled(spark, sf, rules).select("tx_id", rounded(F.col("rule_score"), 8).alias("rule_score"))
 
 
 @query("custom_rules", f"""WITH {_RULED} SELECT tx_id, {_D("user_tx_count > 60")} AS rule_busy_user, {_D("amount > 150 AND device IS NULL")} AS rule_no_device,
-  round_even(({_SUM} + {_D("user_tx_count > 60")} * 0.2::DOUBLE + {_D("amount > 150 AND device IS NULL")} * 0.1::DOUBLE) / {sum(_WEIGHTS.values()) + 0.3}::DOUBLE, 8) AS rule_score FROM ruled""")
+  round_even(({_SUM} + {_D("user_tx_count > 60")} * 0.2::DOUBLE + {_D("amount > 150 AND device IS NULL")} * 0.1::DOUBLE) / {sum(WEIGHTS.values()) + 0.3}::DOUBLE, 8) AS rule_score FROM ruled""")
 def _(spark, sf):
     rules = RULES.with_rule(
         "busy_user", lambda p: (F.col("user_tx_count") > p["n"]).cast("double"), 0.2, "Very active user", {"n": 60},
@@ -123,11 +123,11 @@ def _(spark, sf):
         "tx_id", "user_id", rounded(F.col("anomaly_score"), 8).alias("anomaly_score"), *_RULE_COLS, "top_triggered_rules")
 
 
-_LOG_TX = PARSED.replace("tx AS (", "etx AS (", 1).replace("tx.*", "etx.*").replace("FROM tx JOIN", "FROM etx JOIN") + """,
+LOG_TX = PARSED.replace("tx AS (", "etx AS (", 1).replace("tx.*", "etx.*").replace("FROM tx JOIN", "FROM etx JOIN") + """,
   tx AS (SELECT tx_id, timestamp, user_id, amount, transaction_type, location, device, currency FROM parsed WHERE is_parsed)"""
 
 
-@query("logs_to_risk", f"""WITH {ruled_sql(_LOG_TX)}, {_PARTS} SELECT tx_id, user_id, amount, round_even(rule_score, 8) AS anomaly_score,
+@query("logs_to_risk", f"""WITH {ruled_sql(LOG_TX)}, {_PARTS} SELECT tx_id, user_id, amount, round_even(rule_score, 8) AS anomaly_score,
   coalesce(top3, '') AS top_triggered_rules FROM ruled LEFT JOIN fired USING (tx_id) ORDER BY rule_score DESC, tx_id LIMIT 20""")
 def _(spark, sf):
     """From raw log lines to the riskiest transactions: parse, clean, features, rules, explanations."""
@@ -329,7 +329,7 @@ def _(spark, sf):
 
 @query("rule_feature_importance", f"""WITH {_RULED}, used AS (SELECT rule, count(*) FILTER (s > 0) AS fired FROM (SELECT unnest([{_PAIRS}]) AS x FROM ruled)
     , LATERAL (SELECT x.n AS rule, x.s AS s) GROUP BY rule),
-  map AS (SELECT unnest([{', '.join(f"{{'r': '{n}', 'f': '{f}', 'w': {_WEIGHTS[n] / len(fs)}::DOUBLE}}" for n, fs in ensemble.RULE_FEATURES.items() for f in fs)}]) AS m)
+  map AS (SELECT unnest([{', '.join(f"{{'r': '{n}', 'f': '{f}', 'w': {WEIGHTS[n] / len(fs)}::DOUBLE}}" for n, fs in ensemble.RULE_FEATURES.items() for f in fs)}]) AS m)
   SELECT m.f AS feature, round_even(sum(m.w), 8) AS importance, CAST(sum(fired) AS BIGINT) AS times_triggered FROM map JOIN used ON m.r = rule GROUP BY 1""")
 def _(spark, sf):
     weights = ensemble.rule_feature_importance(spark)
@@ -410,6 +410,19 @@ def _(spark, sf):
     return reports.detailed_report(scored(spark, sf)).withColumns(r(6, "ensemble_score", "rule_score"))
 
 
-@query("fraud_report_lines", None)
+_LINES = f"""SELECT 0 AS section, unnest([
+    {{'position': 0, 'line': 'Total transactions: ' || n}}, {{'position': 1, 'line': printf('Mean ensemble score: %.4f', a)}},
+    {{'position': 2, 'line': printf('Standard deviation: %.4f', s)}}, {{'position': 3, 'line': printf('Highest score: %.4f', hi)}},
+    {{'position': 4, 'line': printf('Lowest score: %.4f', lo)}}]) AS x
+    FROM (WITH {SCORED} SELECT count(*) AS n, avg(ensemble_score) AS a, stddev_pop(ensemble_score) AS s, max(ensemble_score) AS hi, min(ensemble_score) AS lo FROM scored)
+  UNION ALL SELECT 1, {{'position': list_position(['CRITICAL', 'HIGH', 'MEDIUM', 'LOW', 'NORMAL'], risk_level),
+    'line': printf('%s: %d transactions (%.1f%%)', risk_level, transactions, transactions / sum(transactions) OVER () * 100)}} FROM ({ORACLES['risk_breakdown']})
+  UNION ALL SELECT 2, {{'position': 0, 'line': printf('%s: mean %.4f, above 0.7: %d', component, mean_score, high_risk)}} FROM ({ORACLES['component_analysis']})
+  UNION ALL SELECT 3, {{'position': row_number() OVER (ORDER BY mean_ensemble DESC, user_id),
+    'line': printf('%s: mean %.4f, rule %.4f, %d transactions, total %.1f, %s, %s, %s', user_id, mean_ensemble, mean_rule, tx_count, total_amount,
+      main_location, main_type, risk_level)}} FROM ({ORACLES['top_users_by_mean']})"""
+
+
+@query("fraud_report_lines", f"SELECT CAST(section AS INT) AS section, CAST(x.position AS INT) AS position, x.line AS line FROM ({_LINES})")
 def _(spark, sf):
     return reports.fraud_report_lines(scored(spark, sf))

@@ -10,7 +10,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 NAMES = ["parse_logs", "quality_report", "documents_as_logs", "user_profile_orders", "sequence_features_orders",
          "contextual_features", "rule_explanations", "model_statistics", "users_by_band_all_rows", "top_users_by_mean",
-         "logs_to_risk", "boxplot_by_currency", "daily_counts_filled", "behaviour_vectors", "stream_sliding_counts", "feature_store"]
+         "logs_to_risk", "boxplot_by_currency", "daily_counts_filled", "behaviour_vectors", "stream_sliding_counts", "feature_store",
+         "stream_scores", "fraud_report_lines", "statistics_fields", "component_variances"]
 
 
 @pytest.fixture(scope="module")

@@ -143,6 +143,35 @@ def test_near_groups_match_all_pairs(spark):
     assert sorted(r["doc_id"] for r in stay.collect()) == sorted(set(want.values())) and stay.columns == ["doc_id", "text", "source", "rid", "row"]
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_near_groups_of_repeated_and_missing_ids(spark, kind):
+    """Rows count, not ids: one id with two texts, rows without an id, whole rows twice, ids that are no numbers."""
+    draw = random.Random(8)
+    text = lambda: [f"t{draw.randrange(5000)}" for _ in range(120)]
+    changed = lambda w, i: " ".join([*w[:i], "other", *w[i + 1:]])
+    a, b, c = text(), text(), text()
+    name = (lambda i: i) if kind == "long" else (lambda i: None if i is None else f"id-{i}")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, changed(a, 50)), (3, changed(b, 70)), (None, changed(a, 20)), (None, " ".join(c)),
+            (None, changed(c, 60)), (4, " ".join(a)), (4, " ".join(a)), (5, None), (5, None), (None, ""), (6, "alone here")]
+    df = spark.createDataFrame([(name(i), t, "_of", "_hash", k) for k, (i, t) in enumerate(rows)],
+                               f"doc_id {kind}, text string, _of string, _hash string, _one int")
+    got = collections.Counter((r["doc_id"], r["class_id"], r["class_size"], r["kept"]) for r in probminhash.near_groups(df).collect())
+    want = collections.Counter([
+        (1, 1, 5, True), (2, 1, 5, False), (None, 1, 5, False), (4, 1, 5, False), (4, 1, 5, False), (1, 1, 2, True), (3, 1, 2, False),
+        (None, None, 2, True), (None, None, 2, False), (5, 5, 1, True), (5, 5, 1, True), (None, None, 1, True), (6, 6, 1, True)])
+    assert got == collections.Counter({(name(i), name(j), n, k): v for (i, j, n, k), v in want.items()})
+    stay = probminhash.one_of_each(df)
+    assert stay.columns == df.columns
+    at = sorted(r["_one"] for r in stay.collect())
+    assert at[:2] == [0, 1] and at[2] in (5, 6) and at[3:] == [9, 10, 11, 12]
+
+
+def test_one_of_equal_rows_stays(spark):
+    rows = [(7, "one two three four five six"), (7, "one two three four five six"), (8, "One, two three four five six!"), (9, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in probminhash.one_of_each(df).collect()) == [7, 9]
+
+
 def test_links_that_the_first_member_lacks(spark):
     """A chain of texts: neighbours are near, ends are not, and the smallest id stands in the middle of none."""
     draw = random.Random(3)

@@ -144,7 +144,7 @@ def shingles(column, size: int) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros(len(hashes), np.uint64)
     for k in range(size):
         part = np.zeros(len(hashes), np.uint64)
-        part[: len(hashes) - k] = hashes[k:]
+        part[: max(0, len(hashes) - k)] = hashes[k:]
         out = np.where(left > k, mix(out * np.uint64(0x2545F4914F6CDD1D) + part + np.uint64(k + 1)), out)
     whole = (left >= size) | ((n[rows] < size) & (left == n[rows]))
     return out[whole], rows[whole]

@@ -13,10 +13,11 @@ need no comparison with each other; the rest of its companions is compared with
 block by block inside tasks, which return classes and never pairs. So no link between classes
 is missed.
 
-Defined results: texts without words (null, empty) are alone in their class; texts of fewer
-than five words are one shingle; equal bags are one class; repeated rows are counted
-as members; the class id is the smallest doc_id of its members; null ids are members whose
-class id may be null if the class has no other; other columns are ignored; an empty table gives an empty result.
+Defined results: every row gives one row; texts without words (null, empty) are alone in their class; texts of
+fewer than five words are one shingle; equal bags are one class; repeated rows, rows that repeat an id with another text and rows
+without an id are members like any other, since bags are named by numbers of their own and texts by id and hash; the class id is the
+smallest doc_id of its members, null if none has an id; of a class the row with the smallest id stays (null last, then by hash of
+the text, then one of the equal rows); ids of any type that sorts are allowed; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.components import connected_components
 from .common import BROADCAST_BYTES, mix, shingles, stored, table
@@ -37,8 +38,8 @@ CHUNK = 32
 #: Members of a block, of which two are compared in one task, and columns of their matrix at a time.
 BLOCK = 256
 COLUMNS = 1 << 14
-#: An upper bound for a row of four numbers in a broadcast table.
-ROW_BYTES = 96
+#: An upper bound for a row of six numbers in a broadcast table.
+ROW_BYTES = 128
 BATCH_WORDS = 200_000
 _U = np.float64(2.0 ** -53)
 
@@ -107,7 +108,7 @@ def probability_jaccard(a, wa, b, wb) -> float:
 
 
 def sketches(docs: DataFrame, size: int, bands: int, rows_per_band: int) -> DataFrame:
-    """(doc_id, bag, bands): ``bag`` names the bag of shingles (two 64-bit sums); both are null without words."""
+    """(doc_id, text_hash, bag, bands): ``bag`` names the bag of shingles (two 64-bit sums); both are null without words."""
     registers = bands * rows_per_band
 
     def sketched(batches):
@@ -137,36 +138,45 @@ def sketches(docs: DataFrame, size: int, bands: int, rows_per_band: int) -> Data
                         pa.array(np.arange(n + 1, dtype=np.int32) * bands), pa.array(band.view(np.int64)),
                         mask=pa.array(~filled))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(at, n), pa.array(name, pa.string()), lists], names=["doc_id", "bag", "bands"])
+                        [batch.column(0).slice(at, n), batch.column(2).slice(at, n), pa.array(name, pa.string()), lists],
+                        names=["doc_id", "text_hash", "bag", "bands"])
                 at = end
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sketched, "doc_id long, bag string, bands array<long>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", text_hash(docs).alias("text_hash")).mapInArrow(
+        sketched, f"doc_id {kind}, text_hash long, bag string, bands array<long>")
 
 
-def _with_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """Join the texts to the rows that ask for them by ``id``.
+def text_hash(docs: DataFrame) -> Column:
+    """With the id, the name of a text."""
+    return F.xxhash64(docs["text"])
 
-    Rows are few numbers each. Their count is measured: up to ``BROADCAST_BYTES`` they are broadcast and the
-    texts that nobody asks for aren't moved; beyond it both sides are shuffled.
+
+def _with_texts(wanted: DataFrame, texts: DataFrame, heads: DataFrame) -> DataFrame:
+    """Join the texts to the rows that ask for them by ``id``, the number of a bag.
+
+    ``texts`` are (doc_id, text_hash, text) and hold the row of every head. Rows are few numbers each. Their count is
+    measured: up to ``BROADCAST_BYTES`` they are broadcast and the texts that nobody asks for aren't moved; beyond it
+    both sides are shuffled.
     """
     small = wanted.count() * ROW_BYTES <= BROADCAST_BYTES
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    return texts.join(F.broadcast(wanted) if small else wanted, "id")
+    asked = wanted.join(heads.select("id", "head"), "id").select(*wanted.columns, F.col("head.doc_id").alias("_of"), F.col("head.text_hash").alias("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("text_hash") == F.col("_hash"))
+    return texts.join(F.broadcast(asked) if small else asked, same)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: float) -> DataFrame:
-    """(src, dst, similarity) of all (leader, member) pairs of document ids, with their exact similarity.
+def verified(texts: DataFrame, heads: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """(src, dst, similarity) of all (leader, member) pairs of bags, with their exact similarity.
 
     Every text is sent once per chunk of members of its leader, so a leader of very many pairs is
     spread over tasks and a task holds one leader and ``CHUNK`` members at a time.
     """
-    spark = docs.sparkSession
     chunks = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).withColumn("chunks", F.ceil(F.col("n") / CHUNK))
     salted = pairs.join(chunks, "leader").withColumn("chunk", F.pmod(F.xxhash64("member"), F.col("chunks")))
     wanted = stored(salted.select(F.col("member").alias("id"), "leader", "chunk").unionByName(
         chunks.select(F.col("leader").alias("id"), "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
     ), "near-wanted")
-    sent = _with_texts(wanted, docs).select("leader", "chunk", "id", "text")
+    sent = _with_texts(wanted, texts, heads).select("leader", "chunk", "id", "text")
 
     def compared(key, group):
         import pyarrow as pa
@@ -231,7 +241,7 @@ def similar(bags_: list, left: np.ndarray, right: np.ndarray, threshold: float)
     return near
 
 
-def compared_blocks(docs: DataFrame, company: DataFrame, size: int, threshold: float) -> DataFrame:
+def compared_blocks(texts: DataFrame, heads: DataFrame, company: DataFrame, size: int, threshold: float) -> DataFrame:
     """(src, dst): links that join all companions of a leader that are near one of its ``rest``.
 
     Each side is cut into blocks by hash; a task holds two blocks and returns at most one row per text.
@@ -244,7 +254,7 @@ def compared_blocks(docs: DataFrame, company: DataFrame, size: int, threshold: f
     wanted = stored(
         dealt.select("first", "id", F.lit(False).alias("rest"), block("blocks").alias("a"), each("rests").alias("b")).unionByName(
             dealt.filter("rest").select("first", "id", "rest", each("blocks").alias("a"), block("rests").alias("b"))), "near-blocks")
-    sent = _with_texts(wanted, docs).select("first", "a", "b", "id", "rest", "text")
+    sent = _with_texts(wanted, texts, heads).select("first", "a", "b", "id", "rest", "text")
 
     def compared(key, group):
         import pyarrow as pa
@@ -278,21 +288,29 @@ def near_groups(
     docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows_per_band: int = ROWS,
 ) -> DataFrame:
     """(doc_id, class_id, class_size, bag_id, kept) of every document; ``bag_id`` is the smallest id with the same bag."""
-    sketch = stored(sketches(docs, size, bands, rows_per_band), "near-sketches")
-    # Rows of one bag are folded to their smallest id; bands are a function of the bag.
-    heads = sketch.filter(F.col("bag").isNotNull() & F.col("doc_id").isNotNull()).groupBy("bag").agg(
-        F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
-    heads = stored(heads, "near-heads")
+    return _members(docs, size, threshold, bands, rows_per_band).drop("text_hash")
+
+
+def _members(docs: DataFrame, size: int, threshold: float, bands: int, rows_per_band: int) -> DataFrame:
+    """The rows of ``near_groups`` with the hash of their text."""
+    # Written out, so the numbers of rows and bags stay what they are.
+    sketch = stored(sketches(docs, size, bands, rows_per_band).withColumn("row", F.monotonically_increasing_id()), "near-sketches")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    heads = sketch.filter(F.col("bag").isNotNull()).groupBy("bag").agg(
+        F.min(place).alias("head"), F.first("bands").alias("bands"))
+    heads = stored(heads.withColumn("id", F.monotonically_increasing_id()), "near-heads")
     members = heads.select("id", F.explode("bands").alias("hash"))
     hot = members.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").drop("last")
     hot = stored(hot, "near-buckets")
     # Only members of buckets of two or more go on.
     shared = stored(members.join(hot, "hash"), "near-members")
-    one_text = docs.groupBy("doc_id").agg(F.first("text").alias("text")) if _ids_repeat(sketch) else docs
+    texts = docs.select("doc_id", text_hash(docs).alias("text_hash"), "text")
+    if _rows_repeat(sketch):
+        texts = texts.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
     nodes = heads.select("id")
 
     first = stored(shared.filter("id > first").select(F.col("first").alias("leader"), F.col("id").alias("member")).distinct(), "near-pairs")
-    tested = verified(one_text, first, size, threshold)
+    tested = verified(texts, heads, first, size)
     links = tested.filter(F.col("similarity") >= threshold).select("src", "dst")
     labels = stored(_components(nodes, links), "near-labels")
     # Companions of a leader outside its class may still be near others, whatever bucket they share.
@@ -300,21 +318,24 @@ def near_groups(
         labels.select(F.col("id").alias("first"), F.col("label").alias("of")), "first")
     company = stored(company.select("first", "id", (F.col("label") != F.col("of")).alias("rest")), "near-company")
     if company.filter("rest").limit(1).count():
-        links = links.unionByName(compared_blocks(one_text, company, size, threshold))
+        links = links.unionByName(compared_blocks(texts, heads, company, size, threshold))
         labels = stored(_components(nodes, links), "near-labels")
-    facts = heads.select("bag", "id").join(labels, "id")
-    named = stored(sketch.select("doc_id", "bag").join(facts, "bag", "left"), "near-named")
-    sizes = named.groupBy("label").agg(F.count(F.lit(1)).alias("class_size")).filter("label is not null")
+    facts = heads.select("bag", "id", F.col("head.doc_id").alias("bag_id")).join(labels, "id").drop("id")
+    named = stored(sketch.select("doc_id", "text_hash", "row", "bag").join(facts, "bag", "left"), "near-named")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row")
+    sizes = named.filter("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("class_size"), F.min(place).alias("stays"))
     out = named.join(sizes, "label", "left")
-    class_id = F.coalesce("label", "doc_id")
+    alone = F.col("label").isNull()
     return out.select(
-        "doc_id", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.coalesce("id", "doc_id").alias("bag_id"),
-        F.coalesce(F.col("doc_id") == class_id, F.lit(True)).alias("kept"))
+        "doc_id", "text_hash", F.when(alone, F.col("doc_id")).otherwise(F.col("stays.doc_id")).alias("class_id"),
+        F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("bag_id")).alias("bag_id"),
+        (alone | (F.col("row") == F.col("stays.row"))).alias("kept"))
 
 
-def _ids_repeat(sketch: DataFrame) -> bool:
-    return sketch.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
+def _rows_repeat(sketch: DataFrame) -> bool:
+    """Whether a row with words is there twice, by id and text."""
+    return sketch.filter("bag is not null").groupBy("doc_id", "text_hash").count().filter("count > 1").limit(1).count() > 0
 
 
 def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -326,8 +347,18 @@ def _components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents of which each class keeps one, with all their columns; documents without words stay."""
-    gone = stored(near_groups(docs).filter(~F.col("kept")).select("doc_id"), "near-gone")
-    return docs.join(gone, "doc_id", "left_anti")
+    rows = _members(docs, SHINGLE, THRESHOLD, BANDS, ROWS).groupBy("doc_id", "text_hash").agg(
+        F.count_if("kept").alias("stay"), F.count_if(~F.col("kept")).alias("go"))
+    # Equal rows have one name: where one of them stays and others go, they are named here and put back once.
+    going = stored(rows.filter("go > 0").select(F.col("doc_id").alias("_of"), F.col("text_hash").alias("_hash"), (F.col("stay") > 0).alias("_one")), "near-gone")
+    named = lambda rows, of: rows["doc_id"].eqNullSafe(of["_of"]) & (text_hash(rows) == of["_hash"])
+    out = docs.join(going, named(docs, going), "left_anti")
+    again = going.filter("_one")
+    if again.limit(1).count():
+        hashed = "_h" + "_".join(docs.columns)  # a name that no column has
+        whole = docs.join(again, named(docs, again), "left_semi")
+        out = out.unionByName(whole.withColumn(hashed, text_hash(whole)).dropDuplicates(["doc_id", hashed]).drop(hashed))
+    return out
 
 
 def op10_probminhash(spark, sf_dir):

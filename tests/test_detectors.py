@@ -74,6 +74,23 @@ def test_lof_of_new_rows(spark, blobs, tmp_path, chunk):
         assert len(got) == len(new) and np.allclose(got, want, rtol=1e-6)
 
 
+def test_neighbours_move_rows_once(spark, capsys):
+    """Many cells, blocks and ties: the lists are those of brute force, and no row is copied for the cells it visits."""
+    x = np.random.default_rng(3).integers(0, 25, (6000, 3)).astype(float)
+    points = checkpointed(weighted_points(table(spark, x)))
+    found = nearest_points(build_index(points, 150), 7)
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "CoGroup" not in plan and "Generate" not in plan
+    ids, y = zip(*[(r["gid"], r["features"]) for r in points.collect()])
+    ids, y = np.array(ids), np.array(y)
+    lists = {r["gid"]: [(n["dist"], n["nid"]) for n in r["neighbours"]] for r in found.collect()}
+    assert sorted(lists) == sorted(ids)
+    for at in range(0, len(ids), 37):
+        d = np.sqrt(((y - y[at]) ** 2).sum(1))
+        assert lists[ids[at]] == [(d[i], ids[i]) for i in np.lexsort((ids, d))[:7]]
+
+
 def test_one_class_of_new_rows(spark, blobs):
     model = fit_oneclass(table(spark, blobs[:240]), steps=6)
     everything = model.score(table(spark, blobs), "s").toPandas().sort_values("tx_id")["s"].to_numpy()

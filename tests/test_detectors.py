@@ -218,6 +218,33 @@ def test_importance(spark):
     assert out["varies"] == pytest.approx(1.0) and out["constant"] == 0.0
 
 
+def test_resumed_walks_are_those_of_the_changed_rows(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(700, 30))
+    model = fit_isolation_forest(table(spark, x), 20, 64)
+    trees = ForestArrays(model.nodes, model.subsample)
+    nodes, lengths = trees.walk(x)
+    assert (trees.scored(lengths) == trees.score(x)).all()
+    for c in range(30):
+        other, changed, path = rng.permutation(x[:, c]), x.copy(), lengths.copy()
+        at = trees.touched(nodes, c)
+        path[at[1:]] = trees.resumed(x, c, other, nodes, at)
+        changed[:, c] = other
+        assert (trees.scored(path) == trees.score(changed)).all() and len(at[0]) < 0.5 * lengths.size
+
+
+def test_importance_fits_no_neighbour_method(spark, monkeypatch):
+    from catalog import detectors
+    from tidewatch.plans import detect
+
+    def unused(*args, **kwargs):
+        raise AssertionError("importance reads the forest alone")
+
+    monkeypatch.setattr(detect, "fit_lof", unused)
+    out = detectors.QUERIES["permutation_importance"](spark, "/root/testdata/sf0.001").toPandas()
+    assert len(out) and abs(out["importance"].sum() - 1) < 1e-9
+
+
 @pytest.mark.parametrize("rows,block", [(100, 16), (100, 2048), (97, 7), (1, 4), (2, 4)])
 def test_every_column_gets_its_own_permutation(spark, rows, block):
     x = np.column_stack([np.arange(rows), np.arange(rows) + 1000.0])

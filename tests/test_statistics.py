@@ -108,3 +108,23 @@ def test_spread_of_large_close_amounts(spark, amounts):
     assert row["mean"] == pytest.approx(np.mean(amounts)) and row["std"] == pytest.approx(np.std(amounts, ddof=1))
     from tidewatch.functions.numbers import total
     assert df.agg(total(F.col("amount"))).first()[0] == pytest.approx(sum(amounts))
+
+
+def test_report_lines_round_ties_to_even(spark):
+    from tidewatch.operators.reports import fraud_report_lines
+    scored = spark.createDataFrame(
+        [("u", 0.25, "London", "purchase", 0.03125, 0.0, 0.03125)],
+        "user_id string, amount double, location string, transaction_type string, ensemble_score double, rule_score double, lof_score double")
+    lines = [r["line"] for r in fraud_report_lines(scored).collect()]
+    assert "Mean ensemble score: 0.0312" in lines and "lof: mean 0.0312, above 0.7: 0" in lines
+    assert any("total 0.2," in x for x in lines)
+
+
+def test_means_of_users_do_not_depend_on_the_order(spark):
+    rng, want = np.random.default_rng(1), 22.7 / 80  # 0.28375, halfway between two fourth digits
+    v = np.repeat([0.1, 0.2, 0.3, 0.4, 0.5, 0.8], [18, 21, 20, 1, 19, 1])
+    while np.rint(np.add.accumulate(v)[-1] / 80 * 1e4) / 1e4 == 0.2838:
+        v = rng.permutation(v)
+    rows = spark.createDataFrame([("u", 1.0, "x", "y", float(a)) for a in v],
+                                 "user_id string, amount double, location string, transaction_type string, lof_score double").coalesce(1)
+    assert abs(v.sum() / 80 - want) < 1e-12 and scoring.users_by_method(rows).first()["mean_score"] == 0.2838

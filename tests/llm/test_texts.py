@@ -43,6 +43,16 @@ def test_odd_texts_and_labels(spark):
     assert langid.predict(docs.limit(0), model).count() == 0
 
 
+def test_all_labelled_texts_teach(spark):
+    """Words of three texts each among 6,000 of a language are all learned, and every text counts for the cuts."""
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3)) * 2
+    rows = [(i, f"{name(i // 3)} {name(i // 3)[::-1]}", "en") for i in range(6000)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(labelled)
+    assert min(model.predict(text)[1] for _, text, _ in rows[::3]) > 0.9
+    assert set(langid.calibrated(labelled, model, error=1 / 6000)) == {3}
+
+
 def test_filters_hold_what_was_inserted_and_know_their_errors():
     draw = np.random.default_rng(2)
     slots, probes = 1 << 12, 3

@@ -6,9 +6,8 @@ and the AND of the k masks names all languages that contain an n-gram. A text's
 are looked up, counted per language, corrected for the filter's measured rate of false
 positives, and the language with the largest corrected count wins.
 
-Fitting: Spark counts n-grams by language in at most ``rows_per_lang`` labelled texts each
-(lowest id hashes first), a documented bound of the classifier's training sample. n-grams enter
-the filter of each language in which they are frequent enough. The model is one byte
+Fitting: Spark counts n-grams by language in all labelled texts (``rows_per_lang`` bounds them, lowest
+id hashes first, where a caller asks for it). n-grams enter the filter of each language in which they are frequent enough. The model is one byte
 array per filter, bounded by ``slots``.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; ties go
@@ -32,11 +31,10 @@ from .common import mix, table
 SIZE = 4
 SLOTS = 1 << 20
 PROBES = 3
-#: A cut lies below the score that this share of labelled texts miss; so many of them (on average) are scored to find it.
-ERROR, CALIBRATION_ROWS = 0.001, 20_000
+#: A cut lies below the score that this share of labelled texts miss.
+ERROR = 0.001
 #: Texts that taught score higher than new ones, so a cut is this part of their quantile.
 MARGIN = 0.5
-ROWS_PER_LANG = 4000
 LEAST_COUNT = 3
 #: An n-gram belongs to a language if it is at least this fraction as frequent as where it is most frequent.
 LEAST_SHARE = 0.1
@@ -105,23 +103,25 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(
     labelled: DataFrame, size: int = SIZE, slots: int = SLOTS, probes: int = PROBES,
-    rows_per_lang: int = ROWS_PER_LANG, least_count: int = LEAST_COUNT, least_share: float = LEAST_SHARE,
+    rows_per_lang: int | None = None, least_count: int = LEAST_COUNT, least_share: float = LEAST_SHARE,
 ) -> LanguageFilters:
     """Filters from (doc_id, text, lang); rows with a null text or label are left out.
 
     n-grams are counted in Spark; the driver receives the masks of the slots, ``slots`` rows at most.
     """
     usable = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    # A bounded sample without sorting a language: keep ids whose hash lies below the share that is needed.
     sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(65).collect()}
     languages = sorted(sizes, key=lambda x: x.encode())
     if len(languages) > 64:
         raise ValueError("a mask holds 64 languages at most")
     if not languages:
         return LanguageFilters([], np.zeros(slots, np.uint64), size, probes)
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, rows_per_lang / n))])
-    at = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = usable.filter(at < F.element_at(share, F.col("lang"))).select("lang", "text")
+    taught = usable
+    if rows_per_lang is not None:
+        # Without sorting a language: keep ids whose hash lies below the share that is needed.
+        share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, rows_per_lang / n))])
+        at = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        taught = usable.filter(at < F.element_at(share, F.col("lang")))
 
     def counted(batches):
         for pdf in batches:
@@ -131,7 +131,7 @@ def fit(
                 code, n = np.unique(np.concatenate(codes), return_counts=True)
                 yield pd.DataFrame({"lang": lang, "code": code.view(np.int64), "n": n})
 
-    counts = sample.mapInPandas(counted, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = taught.select("lang", "text").mapInPandas(counted, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))  # 64 rows at most
     rate = counts.filter(F.col("n") >= least_count).join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total"))
     frequent = rate.groupBy("code").agg(F.max("rate").alias("top"), F.collect_list(F.struct("lang", "rate")).alias("in"))
@@ -173,15 +173,16 @@ def band(text: Column) -> Column:
     return F.floor(F.log2(F.greatest(F.lit(1), F.length(F.coalesce(text, F.lit("")))))).cast("int")
 
 
-def calibrated(labelled: DataFrame, model: LanguageFilters, error: float = ERROR, rows: int = CALIBRATION_ROWS) -> dict[int, float]:
+def calibrated(labelled: DataFrame, model: LanguageFilters, error: float = ERROR, rows: int | None = None) -> dict[int, float]:
     """Per length class a cut well below the score that ``error`` of the labelled texts miss; short texts vary more than long ones.
 
-    Scores a sample of ``rows`` labelled texts on average. A class with fewer than 1 / ``error`` of them can't be judged and has no cut.
+    Scores all labelled texts, or ``rows`` of them on average. A class with fewer than 1 / ``error`` of them can't be judged and has no cut.
     """
     usable = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    n = usable.count()
-    at = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    seen = predict(usable.filter(at < min(1.0, rows / max(1, n))).select("text", "lang"), model).filter("lang_pred <> 'und'")
+    if rows is not None:
+        at = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        usable = usable.filter(at < min(1.0, rows / max(1, usable.count())))
+    seen = predict(usable.select("text", "lang"), model).filter("lang_pred <> 'und'")
     cuts = seen.groupBy(band(F.col("text")).alias("band")).agg((MARGIN * F.percentile_approx("score", error, 10_000)).alias("cut"), F.count(F.lit(1)).alias("n")).filter(F.col("n") * error >= 1)
     return {r["band"]: r["cut"] for r in cuts.collect()}  # a row per length class
 

@@ -3,6 +3,7 @@
 import collections
 import math
 import sys
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -306,3 +307,20 @@ def test_language_cuts_keep_clean_documents_of_any_length(spark):
     odd = spark.createDataFrame([(1, "12 34"), (2, None), (3, "ქართული ენა არის " * 40), (4, "The")], "doc_id long, text string")
     assert {r["doc_id"] for r in langid.accepted(langid.predict(odd, model), cuts).collect()} == {4}
     assert langid.accepted(langid.predict(odd, model), {}).count() == 2
+
+
+def test_gram_counts_hold_a_part_of_the_texts_and_count_all():
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(97, 115, 20_000))) for _ in range(300)]
+    pairs = [("ab"[i % 2], t) for i, t in enumerate(texts)] + [("b", None), ("a", "12 3")]
+    tracemalloc.start()
+    counted = list(langid.gram_counts(iter(pairs)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 << 20  # the codes of all texts of a batch at a time took 76 MB
+    for lang in "ab":
+        sums = collections.Counter()
+        for _, codes, n in (x for x in counted if x[0] == lang):
+            sums.update(dict(zip(codes.tolist(), n.tolist())))
+        code, n = np.unique(np.concatenate([langid.grams(t) for k, t in pairs[:300] if k == lang]), return_counts=True)
+        assert sums == dict(zip(code.tolist(), n.tolist()))

@@ -20,7 +20,7 @@ raises.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -101,6 +101,42 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
+def _added(held: tuple[np.ndarray, np.ndarray] | None, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes with their counts, ``parts`` counted in."""
+    code, n = np.unique(np.concatenate(parts), return_counts=True)
+    if held is None:
+        return code, n
+    both, at = np.unique(np.concatenate((held[0], code)), return_inverse=True)
+    sums = np.zeros(len(both), np.int64)
+    np.add.at(sums, at, np.concatenate((held[1], n)))
+    return both, sums
+
+
+def gram_counts(pairs: Iterable[tuple[str, str]], size: int = SIZE) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(lang, codes, counts) of the n-grams in (lang, text); a code may come more than once.
+
+    Holds ``PART`` n-grams and the texts' latest part, and ``PART`` / 4 counts, however many texts or rows of a batch there are.
+    """
+    waiting: dict[str, list[np.ndarray]] = {}
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    rows = 0
+    for lang, text in pairs:
+        if not has_letter(text):
+            continue
+        for i in range(0, len(text), PART):
+            codes = grams(text[i:i + PART], size)
+            waiting.setdefault(lang, []).append(codes)
+            rows += len(codes)
+            if rows >= PART:
+                held |= {k: _added(held.get(k), parts) for k, parts in waiting.items()}
+                waiting, rows = {}, 0
+                if sum(len(code) for code, _ in held.values()) >= PART // 4:
+                    yield from ((k, *counts) for k, counts in held.items())
+                    held = {}
+    held |= {k: _added(held.get(k), parts) for k, parts in waiting.items()}
+    yield from ((k, *counts) for k, counts in held.items())
+
+
 def fit(
     labelled: DataFrame, size: int = SIZE, slots: int = SLOTS, probes: int = PROBES,
     rows_per_lang: int | None = None, least_count: int = LEAST_COUNT, least_share: float = LEAST_SHARE,
@@ -124,12 +160,9 @@ def fit(
         taught = usable.filter(at < F.element_at(share, F.col("lang")))
 
     def counted(batches):
-        for pdf in batches:
-            for lang, texts in pdf.groupby("lang")["text"]:
-                codes = [np.empty(0, np.uint64)]
-                codes += [grams(t[i:i + PART], size) for t in texts if has_letter(t) for i in range(0, len(t), PART)]
-                code, n = np.unique(np.concatenate(codes), return_counts=True)
-                yield pd.DataFrame({"lang": lang, "code": code.view(np.int64), "n": n})
+        pairs = (pair for pdf in batches for pair in zip(pdf["lang"], pdf["text"]))
+        for lang, code, n in gram_counts(pairs, size):
+            yield pd.DataFrame({"lang": lang, "code": code.view(np.int64), "n": n})
 
     counts = taught.select("lang", "text").mapInPandas(counted, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))  # 64 rows at most

@@ -2,6 +2,7 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +110,69 @@ def test_stream_sessions_merge_and_late_rows_go(spark, tmp_path):
     assert got == [("a", 0.0, 3, 7.0), ("b", 30.0, 1, 5.0), ("c", 100.0, 4, 5.0)]
     batch = windows.session_counts(spark.createDataFrame([r for r in rows if r[0] != 6], ROWS), "12 hours").collect()
     assert sorted((r["user_id"], r["n"], r["amount"]) for r in batch) == [(u, n, a) for u, _, n, a in got]
+
+
+class _Held:
+    """State of one user in memory: a value, a list or a map; every call counts."""
+
+    def __init__(self, handle):
+        self.handle, self.items = handle, {}
+
+    def __getattr__(self, name):
+        items = self.items
+
+        def call(*args):
+            self.handle.calls += 1
+            return {
+                "exists": lambda: bool(items), "clear": items.clear, "keys": lambda: list(items), "removeKey": lambda k: items.pop(k),
+                "get": lambda: list(items.values()) if self.handle.lists is self else items[0], "update": lambda v: items.update({0: v}),
+                "appendValue": lambda v: items.update({len(items): v}), "put": lambda vs: (items.clear(), items.update(enumerate(vs))),
+                "containsKey": lambda k: k in items, "getValue": lambda k: items[k], "updateValue": lambda k, v: items.update({k: v}),
+            }[name](*args)
+        return call
+
+
+class _Handle:
+    def __init__(self):
+        self.calls, self.lists, self.timers = 0, None, set()
+
+    def getListState(self, *_):
+        self.lists = _Held(self)
+        return self.lists
+
+    def getValueState(self, *_):
+        return _Held(self)
+
+    getMapState = getValueState
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+
+class _At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_a_source_read_at_once_costs_a_user_a_few_state_calls():
+    day, hour = 24 * sequence._HOUR, sequence._HOUR
+    times = [d * day + h * hour for d in range(19_000, 19_200) for h in (1, 5, 23)]
+    part = pd.DataFrame({"tx_id": [str(i) for i in range(len(times))], "micros": times, "location": "L", "device": None})
+    user, handle = sequence.SequenceProcessor(day, None), _Handle()
+    user.init(handle)
+    out = list(user.handleInputRows(("u",), iter([part.sample(frac=1, random_state=1)]), _At(0)))
+    end = 20_000 * day // 1000
+    while handle.timers:
+        ms = min(handle.timers)
+        handle.timers.remove(ms)
+        out += user.handleExpiredTimer(("u",), _At(end), _At(ms))
+    assert handle.calls <= 12  # 4598, when every day had its own entry and timer
+    got = pd.concat(out, ignore_index=True)
+    assert got["tx_id"].tolist() == list(range(600)) and got["tx_velocity_24h"].tolist() == [0, 1, 2] + [3] * 597
+    assert got["timestamp"].dt.tz is not None and got["timestamp"].iloc[0] == pd.Timestamp(times[0], unit="us", tz="UTC")

@@ -302,3 +302,26 @@ def test_equal_scores_normalise_to_zero(spark):
     forest = fit_isolation_forest(df, trees=3, subsample=4)
     out = scoring.minmax(forest.score(df, "raw").drop("features"), {"raw": "s"})
     assert {r["s"] for r in out.collect()} == {0.0}
+
+
+def test_matrix_is_fitted_with_one_aggregate_for_all_columns(spark, monkeypatch):
+    from tidewatch.operators import matrix
+
+    calls, plain = [], matrix.F.stddev_pop
+    monkeypatch.setattr(matrix.F, "stddev_pop", lambda c: calls.append(c) or plain(c))
+    df = spark.createDataFrame(
+        [(i, float(i), None if i % 3 else 2.0 * i, i % 24, "ab"[i % 2]) for i in range(50)], "tx_id long, amount double, amount_raw double, hour int, device_filled string")
+    model = matrix.fit_matrix(df)
+    assert model.names == ["amount", "amount_raw", "hour", "device_filled_encoded"] and len(calls) == 1
+    x = np.array([[i, 0.0 if i % 3 else 2.0 * i, i % 24, i % 2] for i in range(50)], float)
+    assert np.allclose(model.means, x.mean(0)) and np.allclose(model.stds, x.std(0))
+    none = matrix.fit_matrix(df.limit(0))
+    assert none.means == [0.0] * 4 and none.stds == [0.0] * 4
+
+
+def test_isolation_forest_scores_rows_once(spark):
+    from catalog.detectors import QUERIES
+
+    out = QUERIES["isolation_forest"](spark, "/root/testdata/sf0.001")
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().toString()  # range and result read stored scores
+    assert out.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()

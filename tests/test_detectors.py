@@ -10,7 +10,8 @@ from tidewatch.operators.forest import ForestArrays, fit_isolation_forest
 from tidewatch.operators.hierarchy import hierarchy_scores
 from tidewatch.operators.importance import numbered, permutation_importance, permuted_blocks
 from tidewatch.operators.lof import fit_lof, load_lof, lof_scores
-from tidewatch.operators.neighbours import build_index, nearest_points, weighted_points
+from tidewatch.operators import dbscan
+from tidewatch.operators.neighbours import build_index, near_pairs, nearest_points, weighted_points
 from tidewatch.operators.oneclass import FourierMap, corrected, fit_oneclass, oneclass_scores
 from tidewatch.operators.skew import checkpointed
 
@@ -142,6 +143,47 @@ def test_dbscan_single_cluster_scores_zero(spark):
     assert {r["dbscan_score"] for r in dbscan_scores(dbscan_labels(table(spark, x), 0.5, 5)).collect()} == {0.0}
 
 
+def test_dbscan_asks_no_more_than_it_must(spark, monkeypatch):
+    """A query that has found enough asks no more, and nobody asks again once one cluster is left."""
+    scans, scan = [], dbscan.scan
+    monkeypatch.setattr(dbscan, "scan", lambda *a: scans.append(a) or scan(*a))
+    x = np.arange(40)[:, None] * 0.1
+    assert {r["cluster"] for r in dbscan_labels(table(spark, x), 0.25, 3).collect()} == {0}
+    assert len(scans) == 3  # counts, one round of links, borders
+    search = scans[0][4]({"gid": np.arange(40), "features": x})
+    p = {"gid": np.arange(40), "features": x, "weight": np.ones(40, np.int64)}
+    assert (search.limit() == 0.25).all()
+    search.meet(np.arange(40), p)
+    assert (search.found == (pairwise(x) <= 0.25).sum(1)).all() and np.isneginf(search.limit()).all()
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e3])
+@pytest.mark.parametrize("size", [1e-25, 1e-6, 1.0, 1e20])
+def test_near_pairs_miss_none(shift, size):
+    rng = np.random.default_rng(3)
+    x, y = (rng.normal(shift, 1, (n, 6)) * size for n in (700, 300))
+    y[:50] = x[:50]
+    true = ((x[:, None] - y[None]) ** 2).sum(-1)
+    limit = np.quantile(true, 0.02, axis=1)
+    limit[:3] = 0.0, np.inf, true[2].min()
+    wanted, seen = set(zip(*np.nonzero(true <= limit[:, None]))), set()
+    for i, j, sq, noise in near_pairs(x, y, limit):
+        assert (np.diff(i) >= 0).all() and (np.abs(sq - true[i, j]) <= noise).all()
+        seen |= set(zip(i, j))
+    assert wanted <= seen
+    if size == 1.0:
+        assert len(seen) < 1.2 * len(wanted)
+
+
+def test_cells_grow_with_the_root_of_the_rows(spark):
+    """Every task opens the cells it reads, so many small cells cost more than they rule out."""
+    x = np.random.default_rng(9).normal(0, 1, (400, 8))
+    index = build_index(checkpointed(weighted_points(table(spark, x))), 1)
+    assert len(index.pivots) <= 20
+    got = {r["gid"]: [n["nid"] for n in r["neighbours"]] for r in nearest_points(index, 5).collect()}
+    assert got == dict(enumerate(np.argsort(pairwise(x), axis=1, kind="stable")[:, :5].tolist()))
+
+
 def test_components_of_a_chain(spark):
     nodes = spark.range(40).withColumnRenamed("id", "id")
     edges = spark.range(30).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")).filter("src <> 14")

@@ -94,3 +94,12 @@ def test_quoted_csv(spark, tmp_path, multi_line):
     path.write_text("raw_log\n" + "".join('"' + x.replace('"', '""') + '"\n' for x in lines))
     for read in (read_logs, read_uploaded_logs):
         assert [r["raw_log"] for r in read(spark, str(path), multi_line=multi_line).orderBy("tx_id").collect()] == lines
+
+
+def test_scored_table_stores_only_what_reports_read(spark):
+    """No wide feature row is moved by id or written: the table of the reports is narrow, and its scores need no shuffle."""
+    from catalog import rules
+    out = rules.scored(spark, "/root/testdata/sf0.001")
+    assert len(out.columns) <= 25
+    assert {*rules._READ, *rules._RULE_COLS, "rule_score", "ensemble_score", "hdbscan_score"} <= set(out.columns)
+    assert out.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()

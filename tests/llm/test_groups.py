@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -323,3 +324,24 @@ def test_one_row_stays_of_repeated_and_missing_ids(spark):
     assert got == [("", 8), ("a b", 5), ("a c", 9), ("other", 5)]
     lonely = spark.createDataFrame([(None, "a\tc", "x", "y"), (None, "a c", "x", "y")], docs.schema)
     assert exact.deduplicated(lonely).count() == 1
+
+
+def test_near_dedup_of_many_long_texts_holds_a_step_at_a_time(monkeypatch):
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 40_000, 40_000)
+    texts = [" ".join(f"w{w}" for w in np.roll(words, -97 * i)[:8_000]) for i in range(120)]
+    column = pa.array([texts[0], None, "", *texts[1:]])
+    whole = probminhash.bags(column)
+    tracemalloc.start()
+    stepped = probminhash.bags_by_steps(column)
+    held, peak = tracemalloc.get_traced_memory()
+    assert peak - held < 100e6
+    assert all((a == b).all() for a, b in zip(whole, stepped))
+    assert all(len(a) == 0 for a in probminhash.bags_by_steps(pa.array([], pa.string())))
+    rows, items, weights = stepped
+    edge = np.searchsorted(rows, np.arange(len(column) + 1))
+    tracemalloc.stop()
+    parts = [(items[a:b], weights[a:b]) for a, b in zip(edge[:-1], edge[1:])]
+    near = [probminhash.similar(parts[3:], np.arange(60), np.arange(60, 119), x) for x in (0.8, 0.95)]
+    monkeypatch.setattr(probminhash, "CELLS", 5_000)
+    assert all((probminhash.similar(parts[3:], np.arange(60), np.arange(60, 119), x) == m).all() for x, m in zip((0.8, 0.95), near))

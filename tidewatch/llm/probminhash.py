@@ -38,6 +38,8 @@ CHUNK = 32
 #: Members of a block, of which two are compared in one task, and columns of their matrix at a time.
 BLOCK = 256
 COLUMNS = 1 << 14
+#: Cells of a 0/1 matrix of texts and shingles; many texts are compared over fewer shingles at a time.
+CELLS = 1 << 20
 #: An upper bound for a row of six numbers in a broadcast table.
 ROW_BYTES = 128
 BATCH_WORDS = 200_000
@@ -56,6 +58,24 @@ def bags(column, size: int = SHINGLE):
     return rows[at], hashes[at], np.diff(np.concatenate((at, [len(hashes)]))).astype(float)
 
 
+def steps(column) -> list[int]:
+    """Ends of runs of texts that are long enough together: memory follows the longest text, not the number of texts."""
+    import pyarrow as pa
+    chars = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0))
+    return [*(np.flatnonzero(np.diff(np.cumsum(chars) // (6 * BATCH_WORDS))) + 1).tolist(), len(column)]
+
+
+def bags_by_steps(column, size: int = SHINGLE):
+    """As :func:`bags`, with the working memory of a step."""
+    at, parts = 0, []
+    for end in steps(column):
+        if end > at:
+            rows, items, weights = bags(column.slice(at, end - at), size)
+            parts.append((rows + at, items, weights))
+        at = end
+    return tuple(map(np.concatenate, zip(*parts))) if parts else bags(column, size)
+
+
 def signatures(rows: np.ndarray, items: np.ndarray, weights: np.ndarray, n_rows: int, registers: int) -> np.ndarray:
     """ProbMinHash registers of all rows at once: for each row and register the item that arrived first.
 
@@ -115,10 +135,7 @@ def sketches(docs: DataFrame, size: int, bands: int, rows_per_band: int) -> Data
         import pyarrow as pa
         for batch in batches:
             text, at = batch.column(1), 0
-            chars = np.asarray(pa.compute.fill_null(pa.compute.binary_length(text), 0))
-            # A step ends where the texts so far are long enough: memory follows the longest text, not the batch.
-            steps = np.flatnonzero(np.diff(np.cumsum(chars) // (6 * BATCH_WORDS))) + 1
-            for end in [*steps.tolist(), len(batch)]:
+            for end in steps(text):
                 if end > at:
                     part, n = text.slice(at, end - at), end - at
                     rows, items, weights = bags(part, size)
@@ -186,7 +203,7 @@ def verified(texts: DataFrame, heads: DataFrame, pairs: DataFrame, size: int) ->
         out = []
         text = group.column("text").combine_chunks()
         text = text if isinstance(text, pa.Array) else text.chunk(0)
-        rows, items, weights = bags(text, size)
+        rows, items, weights = bags_by_steps(text, size)
         edge = np.searchsorted(rows, np.arange(len(ids) + 1))
         a, wa = items[edge[at]:edge[at + 1]], weights[edge[at]:edge[at + 1]]
         for i, other in enumerate(ids):
@@ -221,9 +238,10 @@ def similar(bags_: list, left: np.ndarray, right: np.ndarray, threshold: float)
     rows, share, column = rows[order], share[order], column[order]
     both = np.zeros((len(left), len(right)))
     of_left, of_right = np.zeros_like(both), np.zeros_like(both)
-    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        part = slice(*np.searchsorted(column, (first, first + COLUMNS)))
-        has = np.zeros((n, min(COLUMNS, int(column[-1]) + 1 - first)), np.float32)
+    width = max(1, min(COLUMNS, CELLS // max(1, n)))
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, (first, first + width)))
+        has = np.zeros((n, min(width, int(column[-1]) + 1 - first)), np.float32)
         has[rows[part], column[part] - first] = 1
         both += has[left] @ has[right].T
         if not plain.all():
@@ -262,7 +280,7 @@ def compared_blocks(texts: DataFrame, heads: DataFrame, company: DataFrame, size
         own, at = np.unique(ids, return_index=True)
         text = group.column("text").combine_chunks()
         text = (text if isinstance(text, pa.Array) else text.chunk(0)).take(pa.array(at))
-        rows, items, weights = bags(text, size)
+        rows, items, weights = bags_by_steps(text, size)
         edge = np.searchsorted(rows, np.arange(len(own) + 1))
         parts = [(items[a:b], weights[a:b]) for a, b in zip(edge[:-1], edge[1:])]
         left, right = np.searchsorted(own, ids[rest]), np.searchsorted(own, ids[~rest])

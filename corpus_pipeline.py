@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.llm import contamination, exact, langid, mixing, probminhash
-from tidewatch.llm.common import stored, table
+from tidewatch.llm.common import small_batches, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that are in none of the learned languages; labels of two thirds of the documents teach and calibrate."""
+    small_batches(spark)
     labelled = docs.filter(~langid.held_out(F.col("doc_id")))
     model = langid.fit(labelled)
     return langid.accepted(langid.predict(docs.select(*COLUMNS), model), langid.calibrated(labelled, model)).select(*COLUMNS)
@@ -27,6 +28,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays, the one with the smallest id."""
+    small_batches(spark)
     return probminhash.one_of_each(docs).select(*COLUMNS)
 
 

@@ -345,3 +345,13 @@ def test_near_dedup_of_many_long_texts_holds_a_step_at_a_time(monkeypatch):
     near = [probminhash.similar(parts[3:], np.arange(60), np.arange(60, 119), x) for x in (0.8, 0.95)]
     monkeypatch.setattr(probminhash, "CELLS", 5_000)
     assert all((probminhash.similar(parts[3:], np.arange(60), np.arange(60, 119), x) == m).all() for x, m in zip((0.8, 0.95), near))
+
+
+def test_a_step_of_near_dedup_works_in_little_memory():
+    column = pa.array([" ".join(f"w{i % 997}x{i % 89}" for i in range(k, k + 20_000)) for k in range(20)])
+    tracemalloc.start()
+    parts = [probminhash.bags(column.slice(a, b - a)) for a, b in zip([0, *probminhash.steps(column)], probminhash.steps(column)) if b > a]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(len(rows) for rows, _, _ in parts) == len(probminhash.bags(column)[0])
+    assert peak < 20 << 20

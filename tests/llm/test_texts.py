@@ -6,6 +6,7 @@ import sys
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -324,3 +325,22 @@ def test_gram_counts_hold_a_part_of_the_texts_and_count_all():
             sums.update(dict(zip(codes.tolist(), n.tolist())))
         code, n = np.unique(np.concatenate([langid.grams(t) for k, t in pairs[:300] if k == lang]), return_counts=True)
         assert sums == dict(zip(code.tolist(), n.tolist()))
+
+
+def test_language_id_hands_over_few_rows_and_holds_one_text(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
+    before = spark.conf.get(name)
+    try:
+        for given, want in (("10000", "1000"), ("0", "1000"), ("64", "64")):
+            spark.conf.set(name, given)
+            corpus_pipeline.STAGES[0][1](spark, docs, SF)
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 2000), pa.array(["\u4e2d" * 2000] * 2000)], names=["lang", "text"])
+    tracemalloc.start()
+    assert sum(len(text) for _, text in langid.pairs_of(iter([batch]))) == 4_000_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 20

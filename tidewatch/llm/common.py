@@ -17,6 +17,8 @@ BLANK = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Tables up to this many bytes (as Arrow or row data) may be broadcast.
 BROADCAST_BYTES = 32 << 20
+#: Rows that a task hands to Python at a time in the pipeline.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +37,16 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Tasks hand whole texts to Python ``BATCH_ROWS`` at a time from here on, unless the session asks for fewer.
+
+    A batch is held by the JVM, in buffers of powers of two, and by Python; with Spark's 10,000 rows it is as large as a task's input.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    spark.conf.set(name, str(min(now, BATCH_ROWS) if now > 0 else BATCH_ROWS))
+
+
 def column(df: DataFrame, name: str, default: str) -> Column:
     """A column by name, or a typed null where the table lacks it."""
     return F.col(name) if name in df.columns else F.lit(None).cast(default).alias(name)

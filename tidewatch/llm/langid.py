@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import mix, table
@@ -137,6 +138,13 @@ def gram_counts(pairs: Iterable[tuple[str, str]], size: int = SIZE) -> Iterator[
     yield from ((k, *counts) for k, counts in held.items())
 
 
+def pairs_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+    """(lang, text) of Arrow batches; of a batch's texts, one is a Python string at a time."""
+    for batch in batches:
+        for lang, text in zip(batch.column(0), batch.column(1)):
+            yield lang.as_py(), text.as_py()
+
+
 def fit(
     labelled: DataFrame, size: int = SIZE, slots: int = SLOTS, probes: int = PROBES,
     rows_per_lang: int | None = None, least_count: int = LEAST_COUNT, least_share: float = LEAST_SHARE,
@@ -160,11 +168,10 @@ def fit(
         taught = usable.filter(at < F.element_at(share, F.col("lang")))
 
     def counted(batches):
-        pairs = (pair for pdf in batches for pair in zip(pdf["lang"], pdf["text"]))
-        for lang, code, n in gram_counts(pairs, size):
-            yield pd.DataFrame({"lang": lang, "code": code.view(np.int64), "n": n})
+        for lang, code, n in gram_counts(pairs_of(batches), size):
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(code)), pa.array(code.view(np.int64)), pa.array(n)], names=["lang", "code", "n"])
 
-    counts = taught.select("lang", "text").mapInPandas(counted, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = taught.select("lang", "text").mapInArrow(counted, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))  # 64 rows at most
     rate = counts.filter(F.col("n") >= least_count).join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total"))
     frequent = rate.groupBy("code").agg(F.max("rate").alias("top"), F.collect_list(F.struct("lang", "rate")).alias("in"))
@@ -192,11 +199,14 @@ def predict(docs: DataFrame, model: LanguageFilters) -> DataFrame:
     """Add ``lang_pred`` and ``score`` to a table with a column ``text``; the model travels as one broadcast."""
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.masks, model.size, model.probes))
 
-    @F.pandas_udf("lang_pred string, score double")
-    def tagged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def tagged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         filters = LanguageFilters(*sent.value)
         for texts in batches:
-            yield pd.DataFrame([filters.predict(t) for t in texts], columns=["lang_pred", "score"])
+            # One text is a Python string at a time; all of a batch, in two or four bytes a character, would outweigh the batch.
+            found = [filters.predict(t.as_py()) for t in texts]
+            yield pa.StructArray.from_arrays(
+                [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], ["lang_pred", "score"])
 
     return docs.withColumn("_tag", tagged("text")).select(*docs.columns, "_tag.lang_pred", "_tag.score")
 

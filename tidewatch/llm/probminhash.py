@@ -42,7 +42,8 @@ COLUMNS = 1 << 14
 CELLS = 1 << 20
 #: An upper bound for a row of six numbers in a broadcast table.
 ROW_BYTES = 128
-BATCH_WORDS = 200_000
+#: Words of texts that are hashed at a time; about 400 bytes of working memory each.
+BATCH_WORDS = 50_000
 _U = np.float64(2.0 ** -53)
 
 

@@ -136,3 +136,10 @@ def test_unusual_hours(spark):
     out = {r["tx_id"]: (r["is_unusual_hour"], r["is_night_transaction"])
            for r in sequence.sequence_features(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert out == {0: (1, 1), 5: (1, 1), 6: (0, 0), 12: (0, 0), 22: (0, 0), 23: (1, 0)}
+
+
+def test_ordinary_users_are_sorted_once(spark):
+    df = spark.createDataFrame(
+        [(1, "u", "2024-01-01 00:00:00", 1.0)], "tx_id long, user_id string, timestamp string, amount double")
+    plan = sequence.sequence_features(df.withColumn("timestamp", F.col("timestamp").cast("timestamp")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") >= 3 and plan.count("Sort [") == 1

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -33,3 +34,13 @@ def test_query_matches_sql(spark, duck, name):
     assert sorted(names) == cols
     order = [names.index(c) for c in cols]
     assert got == sorted(key([r[i] for i in order]) for r in cur.fetchall())
+
+
+def test_bands_of_a_score_do_not_repeat_its_making(spark):
+    from catalog.rules import scored
+    from tidewatch.functions.bands import risk_band_report
+    s = scored(spark, "/root/testdata/sf0.001")
+    upper = s.filter(risk_band_report(F.col("ensemble_score")).isin("HIGH", "MEDIUM"))
+    lines = upper._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert [x for x in lines if "Filter" in x and "HIGH" in x] and not [x for x in lines if "HIGH" in x and "rule_score" in x]
+    assert upper.count() == sum(0.3 < r[0] <= 0.8 and (r[0] > 0.5) for r in s.select("ensemble_score").collect())

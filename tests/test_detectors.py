@@ -191,6 +191,27 @@ def test_components_of_a_chain(spark):
     assert out == {i: 0 if i <= 14 else 15 if i <= 30 else i for i in range(40)}
 
 
+def test_one_task_joins_what_rounds_join(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    pairs = [(int(a), int(b)) for a, b in draw.integers(0, 300, (220, 2))] + [(i + 1, i) for i in range(1000, 1400)]
+    ids = sorted({i for p in pairs for i in p} | {2000})
+    nodes, edges = spark.createDataFrame([(i,) for i in ids], "id long"), spark.createDataFrame(pairs, "src long, dst long").repartition(5)
+    wanted = {i: i for i in ids}
+    for _ in range(500):
+        for a, b in pairs:
+            wanted[a] = wanted[b] = min(wanted[a], wanted[b])
+    written = []
+    monkeypatch.setattr(components, "checkpointed", lambda df: written.append(1) or checkpointed(df))
+    found = components.connected_components(nodes, edges, 1000)
+    assert {r["id"]: r["component"] for r in found.collect()} == wanted and len(written) == 2
+    assert {r["id"]: r["component"] for r in components.connected_components(nodes, edges, 100).collect()} == wanted
+    two = lambda c: F.struct((F.col(c) % 2).alias("part"), F.col(c).alias("v"))
+    same = edges.filter("src % 2 = dst % 2").select(two("src").alias("src"), two("dst").alias("dst"))
+    by_rounds, by_task = (sorted(components.connected_components(nodes.select(two("id").alias("id")), same, n).collect()) for n in (0, 1000))
+    assert by_rounds == by_task and len(by_task) == len(ids)
+    assert components.connected_components(nodes, edges.limit(0), 10).filter("id = component").count() == len(ids)
+
+
 def test_isolation_forest(spark, blobs):
     df = table(spark, blobs)
     forest = fit_isolation_forest(df, trees=60, subsample=64, seed=7)

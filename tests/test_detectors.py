@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -10,7 +12,7 @@ from tidewatch.operators.forest import ForestArrays, fit_isolation_forest
 from tidewatch.operators.hierarchy import hierarchy_scores
 from tidewatch.operators.importance import numbered, permutation_importance, permuted_blocks
 from tidewatch.operators.lof import fit_lof, load_lof, lof_scores
-from tidewatch.operators import dbscan
+from tidewatch.operators import dbscan, lof
 from tidewatch.operators.neighbours import build_index, near_pairs, nearest_points, weighted_points
 from tidewatch.operators.oneclass import FourierMap, corrected, fit_oneclass, oneclass_scores
 from tidewatch.operators.skew import checkpointed
@@ -212,6 +214,24 @@ def test_one_task_joins_what_rounds_join(spark, monkeypatch):
     assert components.connected_components(nodes, edges.limit(0), 10).filter("id = component").count() == len(ids)
 
 
+def test_fitted_rows_ask_for_no_neighbours_again(spark, blobs, tmp_path, monkeypatch):
+    x, asked = table(spark, blobs), []
+    search = lof.nearest_to
+    monkeypatch.setattr(lof, "nearest_to", lambda i, q, k: asked.append(q.count()) or search(i, q, k))
+    model = fit_lof(x, 20, chunk_rows=40)
+    model.save(str(tmp_path / "m"))
+    loaded = load_lof(spark, str(tmp_path / "m"))
+    scores = lambda m, t: {r["tx_id"]: r["s"] for r in m.score(t, "s").collect()}
+    got = scores(model, x)
+    assert not asked and np.allclose([got[i] for i in range(len(blobs))], brute_lof(blobs, 20), rtol=1e-6)
+    assert scores(loaded, x) == got and not asked
+    # Ids say nothing: other vectors under fitted ids are searched, and only those.
+    moved = table(spark, np.vstack([blobs[:100], blobs[100:120] + 0.5]))
+    for m in (model, loaded):
+        assert scores(m, moved) == scores(replace(m, lists=None), moved)
+    assert asked == [20, 120, 20, 120]
+
+
 def test_isolation_forest(spark, blobs):
     df = table(spark, blobs)
     forest = fit_isolation_forest(df, trees=60, subsample=64, seed=7)

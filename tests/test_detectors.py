@@ -13,7 +13,7 @@ from tidewatch.operators.hierarchy import hierarchy_scores
 from tidewatch.operators.importance import numbered, permutation_importance, permuted_blocks
 from tidewatch.operators.lof import fit_lof, load_lof, lof_scores
 from tidewatch.operators import dbscan, lof
-from tidewatch.operators.neighbours import build_index, near_pairs, nearest_points, weighted_points
+from tidewatch.operators.neighbours import build_index, near_pairs, nearest_points, positions, weighted_points
 from tidewatch.operators.oneclass import FourierMap, corrected, fit_oneclass, oneclass_scores
 from tidewatch.operators.skew import checkpointed
 
@@ -177,6 +177,14 @@ def test_near_pairs_miss_none(shift, size):
         assert len(seen) < 1.2 * len(wanted)
 
 
+@pytest.mark.parametrize("shape", [(1, 1), (3, 5), (8, 8), (7, 123)])
+def test_positions_of_hits(shape):
+    draw = np.random.default_rng(1)
+    for share in (0.0, 0.01, 0.5, 1.0):
+        hits = draw.uniform(size=shape) < share
+        assert positions(hits).tolist() == np.flatnonzero(hits).tolist()
+
+
 def test_cells_grow_with_the_root_of_the_rows(spark):
     """Every task opens the cells it reads, so many small cells cost more than they rule out."""
     x = np.random.default_rng(9).normal(0, 1, (400, 8))

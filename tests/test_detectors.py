@@ -324,6 +324,25 @@ def test_resumed_walks_are_those_of_the_changed_rows(spark):
         assert (trees.scored(path) == trees.score(changed)).all() and len(at[0]) < 0.5 * lengths.size
 
 
+def test_changes_of_all_columns_are_those_of_whole_walks(spark):
+    rng = np.random.default_rng(12)
+    x = np.column_stack([rng.normal(size=(500, 12)), np.zeros(500), rng.integers(0, 2, 500)])
+    model = fit_isolation_forest(table(spark, x), 15, 64)
+    trees = ForestArrays(model.nodes, model.subsample)
+    other = {(c, r): np.random.default_rng([c, r]).permutation(x[:, c]) for c in range(14) for r in range(2)}
+    got = trees.changes(x, 2, lambda c, r: other[c, r])
+    for (c, r), values in other.items():
+        changed = x.copy()
+        changed[:, c] = values
+        assert got[c, r] == pytest.approx(np.abs(trees.score(changed) - trees.score(x)).sum(), abs=1e-10)
+    assert (got[12] == 0).all() and (got[:12] > 0).all()
+    nodes = trees.walk(x)[0]
+    for c, at in enumerate(trees.first_asked(nodes, 14)):
+        asks = trees.feature[np.arange(15), nodes[:-1]] == c
+        row, tree = np.nonzero(asks.any(axis=0))
+        assert sorted(zip(*at)) == sorted(zip(asks[:, row, tree].argmax(axis=0), row, tree)) and (np.diff(at[0]) >= 0).all()
+
+
 def test_importance_fits_no_neighbour_method(spark, monkeypatch):
     from catalog import detectors
     from tidewatch.plans import detect
